@@ -7,8 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the characters Python's str.strip() removes, as a regex class.
+# The characters Python's str.strip() removes, as a regex class and one by one.
 WHITESPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
+WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # The markers generations are cut at.
 INST_END = "[/INST]"
@@ -22,13 +27,8 @@ def col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Unicode-aware strip; ``trim`` alone would only remove spaces.
-
-    The lookbehind lets the matcher start only where a run of white space starts, so long inner
-    runs cost one pass instead of a quadratic retry.
-    """
-    ws = WHITESPACE
-    return F.regexp_replace(col(c), rf"\A{ws}+|(?<!{ws}){ws}+\z", "")
+    """Unicode-aware strip; ``trim`` without characters would only remove spaces."""
+    return F.btrim(col(c), F.lit(WHITESPACE_CHARS))
 
 
 def after_last(c: Column | str, marker: str = INST_END) -> Column:

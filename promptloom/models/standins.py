@@ -65,20 +65,20 @@ def hash_embedder(dimensions: int = 64, salt: str = ""):
     """Loader of a signed feature-hashing embedder over ASCII words; vectors hold whole numbers."""
 
     def loader():
-        places: dict[str, tuple[int, int]] = {}
+        # A word's place among the positive, then the negative counts of all dimensions.
+        places: dict[str, int] = {}
 
-        def place(word: str) -> tuple[int, int]:
-            if word not in places:
-                h = int(hashlib.md5((salt + word).encode()).hexdigest()[:8], 16)
-                places[word] = (h % dimensions, 1 if (h // dimensions) % 2 == 0 else -1)
+        def place(word: str) -> int:
+            h = int(hashlib.md5((salt + word).encode()).hexdigest()[:8], 16)
+            places[word] = h % (2 * dimensions)
             return places[word]
 
         def encode(texts):
             out = np.zeros((len(texts), dimensions), dtype=np.float32)
             for row, text in zip(out, texts):
-                for word in _WORD.findall(text or ""):
-                    at, sign = place(word)
-                    row[at] += sign
+                at = [places[w] if w in places else place(w) for w in _WORD.findall(text or "")]
+                counts = np.bincount(np.array(at, dtype=np.int64), minlength=2 * dimensions)
+                row[:] = counts[:dimensions] - counts[dimensions:]
             return out
 
         return encode

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import chat as c
 
 TURNS_PER_ROW = 1024
+BROADCAST_ROWS = 500_000
 
 
 def assemble_chats(
@@ -34,50 +35,54 @@ def assemble_chats(
         .agg(F.array_sort(F.collect_list(entry)).alias("_e"))
         .select(chat_id, "part", F.transform("_e", lambda e: e["m"]).alias("messages"))
     )
-    # Nearly all chats fit one row and are described from it; only the others need a join.
-    alone = (F.col("part") == 0) & (F.size("messages") < turns_per_row)
-    short = parts.where(alone).select(
-        chat_id,
-        "part",
-        "messages",
-        F.size("messages").alias("n_turns"),
-        c.starts_with_system("messages").alias("has_system"),
-        c.chat_problem("messages").alias("problem"),
-    )
-    long = parts.where(~alone)
-    return short.unionByName(long.join(_describe(long, chat_id, turns_per_row), chat_id))
-
-
-def _describe(long: DataFrame, chat_id: str, turns_per_row: int) -> DataFrame:
-    """What a chat's parts say together; per part only numbers are shuffled."""
-    start = F.col("part") * turns_per_row
-    opens = F.col("part") == 0
-    tail = F.slice("messages", F.lit(2), F.size("messages"))
-    wrong_after_system = F.when(opens, c.wrong_roles(tail)).otherwise(c.wrong_roles("messages", start - 1))
-    facts = long.select(
-        chat_id,
-        F.size("messages").alias("n"),
-        (opens & c.starts_with_system("messages")).alias("sys"),
-        c.wrong_roles("messages", start).alias("wrong"),
-        wrong_after_system.alias("wrong_sys"),
-        "part",
-        c.last_role("messages").alias("last"),
-    )
-    whole = facts.groupBy(chat_id).agg(
-        F.sum("n").cast("int").alias("n_turns"),
-        F.max("sys").alias("has_system"),
-        F.sum("wrong").alias("wrong"),
-        F.sum("wrong_sys").alias("wrong_sys"),
-        F.max_by("last", "part").alias("last"),
-    )
-    wrong = F.when(F.col("has_system"), F.col("wrong_sys")).otherwise(F.col("wrong"))
-    only_system = F.col("has_system") & (F.col("n_turns") == 1)
-    problem = (
-        F.when(only_system, c.EMPTY)
-        .when(wrong > 0, c.NOT_ALTERNATING)
-        .when(F.col("last") != "user", c.NOT_USER_LAST)
+    own = {
+        "n_turns": F.size("messages"),
+        "has_system": c.starts_with_system("messages"),
+        "problem": c.chat_problem("messages"),
+    }
+    # A chat is long when it has a turn numbered `turns_per_row` or more. The test on the turn
+    # reaches the scan, so where no chat is long (nearly always) it costs next to nothing and the
+    # turns are read and shuffled once.
+    long_ids = turns.where(F.col(turn) >= turns_per_row).select(chat_id).distinct()
+    n_long = long_ids.count()
+    if n_long == 0:
+        return parts.withColumns(own)
+    small = n_long <= BROADCAST_ROWS
+    facts = _long_chats(turns, F.broadcast(long_ids) if small else long_ids, chat_id, turn, role)
+    joined = parts.join(F.broadcast(facts) if small else facts, chat_id, "left")
+    is_long = F.col("_f").isNotNull()
+    return joined.withColumns(
+        {name: F.when(is_long, F.col(f"_f.{name}")).otherwise(value) for name, value in own.items()}
+    ).drop("_f")
+
+
+def _long_chats(turns: DataFrame, long_ids: DataFrame, chat_id: str, turn: str, role: str) -> DataFrame:
+    """Length, system flag and problem of long chats, by plain aggregates over their turns.
+
+    Partial sums are combined before the shuffle, so one huge chat is no hot spot.
+    """
+    at, who = F.col(turn), F.col(role)
+
+    def wrong(position: Column) -> Column:
+        expected = F.when(F.pmod(position, F.lit(2)) == 0, "user").otherwise("assistant")
+        return F.sum((~who.eqNullSafe(expected)).cast("bigint"))
+
+    whole = (
+        turns.select(chat_id, turn, role)
+        .join(long_ids, chat_id, "left_semi")
+        .groupBy(chat_id)
+        .agg(
+            F.count(F.lit(1)).cast("int").alias("n_turns"),
+            F.max((at == 0) & (who == "system")).alias("has_system"),
+            wrong(at).alias("wrong"),
+            # Shifted by the system message, which itself is no error (it falls on place -1).
+            wrong(at - 1).alias("wrong_shifted"),
+            F.max_by(who, at).alias("last"),
+        )
     )
-    return whole.select(chat_id, "n_turns", "has_system", problem.alias("problem"))
+    n_wrong = F.when(F.col("has_system"), F.col("wrong_shifted") - 1).otherwise(F.col("wrong"))
+    problem = F.when(n_wrong > 0, c.NOT_ALTERNATING).when(F.col("last") != "user", c.NOT_USER_LAST)
+    return whole.select(chat_id, F.struct("n_turns", "has_system", problem.alias("problem")).alias("_f"))
 
 
 def chat_prompts(chats: DataFrame, turns_per_row: int = TURNS_PER_ROW, **options) -> DataFrame:

@@ -8,6 +8,7 @@ n-th row; the sample or split is then a filter on the hash, with no shuffle of t
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,19 +38,23 @@ class Cut:
     ties: int
 
 
-def find_cut(df: DataFrame, hash_col: Column, n: int) -> Cut | None:
+def find_cut(df: DataFrame, hash_col: Column, n: int | Callable[[int], int]) -> Cut | None:
     """The hash of the ``n``-th row in hash order; None when the table has no more than ``n`` rows.
 
+    ``n`` may be a function of the row count, which the first pass knows anyway.
     Each pass counts rows per prefix within the bucket that holds the n-th row, which narrows
     the bucket 65,536-fold. Only the key columns are read.
     """
     hashes = df.select(hash_col.alias("h"))
-    prefix, left = "", n
+    prefix, left = "", n if isinstance(n, int) else 0
     while len(prefix) < _HEX:
         level = hashes.where(F.col("h").startswith(prefix)) if prefix else hashes
         counts = level.groupBy(F.substring("h", len(prefix) + 1, _STEP).alias("p")).count().collect()
-        if not prefix and sum(r["count"] for r in counts) <= n:
-            return None
+        if not prefix:
+            total = sum(r["count"] for r in counts)
+            left = n if isinstance(n, int) else n(total)
+            if total <= left:
+                return None
         for row in sorted(counts, key=lambda r: r["p"]):
             if left <= row["count"]:
                 break
@@ -69,8 +74,10 @@ def _halves(df: DataFrame, order: Column, n: int, key: list[str]) -> tuple[DataF
     if n <= 0:
         return df.where(F.lit(False)), df
     cut = find_cut(df, order, n)
-    if cut is None:
-        return df, df.where(F.lit(False))
+    return (df, df.where(F.lit(False))) if cut is None else _divide(df, order, cut, key)
+
+
+def _divide(df: DataFrame, order: Column, cut: Cut, key: list[str]) -> tuple[DataFrame, DataFrame]:
     if cut.wanted == cut.ties:
         return df.where(order <= cut.value), df.where(order > cut.value)
     first, rest = df.where(order < cut.value), df.where(order > cut.value)
@@ -119,16 +126,18 @@ def train_test_split(
         if not 0 < test_size < 1:
             raise ValueError(f"a fractional test_size lies between 0 and 1, got {test_size}")
         # Through 12 decimals, so that 0.05 * 100 is 5 and not the 6 its binary error would give.
-        n_test = math.ceil(round(test_size * df.count(), 12))
+        n_test = lambda total: math.ceil(round(test_size * total, 12))
+    elif test_size <= 0:
+        return df.withColumn(split_col, F.lit("train"))
     else:
         n_test = test_size
     order = order_hash(keys, seed)
-    cut = find_cut(df, order, n_test) if n_test > 0 else None
+    cut = find_cut(df, order, n_test)
     if cut is None:
-        return df.withColumn(split_col, F.lit("test" if n_test > 0 else "train"))
+        return df.withColumn(split_col, F.lit("test"))
     if cut.wanted == cut.ties:
         return df.withColumn(split_col, F.when(order <= cut.value, "test").otherwise("train"))
-    test, train = _halves(df, order, n_test, keys)
+    test, train = _divide(df, order, cut, keys)
     return test.withColumn(split_col, F.lit("test")).unionByName(
         train.withColumn(split_col, F.lit("train"))
     )

@@ -13,11 +13,10 @@ from pyspark.sql import types as T
 
 from ..functions import vectors
 from ..functions.text import col
-from ..session import materialize
+from ..session import broadcast_if_small, materialize
 
 # Queries up to this size travel to every task; larger sets take the tiled path.
 BROADCAST_BYTES = 64 << 20
-BROADCAST_MATCHES = 500_000
 # Scores held at once by one task: 32 MB of doubles.
 BLOCK_SCORES = 4_000_000
 # Scores are compared after rounding: float32 embeddings carry no more digits, and equal rounded
@@ -157,7 +156,8 @@ def top_k(
     items = metadata_filter(store, where).where(F.col(item_vector).isNotNull())
     items = items.select(F.col(item_id).alias("_i"), F.col(item_vector).alias("_v"))
     asked = queries.where(F.col(query_vector).isNotNull())
-    asked = asked.select(F.col(query_id).alias("_q"), F.col(query_vector).alias("_w"))
+    # Written once: sizing, broadcasting or tiling must not embed the queries again.
+    asked = materialize(asked.select(F.col(query_id).alias("_q"), F.col(query_vector).alias("_w")))
     schema = T.StructType(
         [
             T.StructField("_q", asked.schema["_q"].dataType),
@@ -267,7 +267,7 @@ def similarity_matrix(
     left = rows.where(F.col(row_vector).isNotNull())
     left = left.select(F.col(row_id).alias("_i"), F.col(row_vector).alias("_v"))
     right = columns.where(F.col(column_vector).isNotNull())
-    right = right.select(F.col(column_id).alias("_q"), F.col(column_vector).alias("_w"))
+    right = materialize(right.select(F.col(column_id).alias("_q"), F.col(column_vector).alias("_w")))
     schema = T.StructType(
         [
             T.StructField("_i", left.schema["_i"].dataType),
@@ -333,12 +333,10 @@ def similarity_matrix(
 def retrieve_texts(matches: DataFrame, store: DataFrame, item_id: str, text: str) -> DataFrame:
     """Matches with their texts, without moving the texts of the whole store.
 
-    The matches (at most k per query) are computed once and counted; up to ``BROADCAST_MATCHES``
-    rows they travel to the store, more are joined by shuffle.
+    The matches (at most k per query) are computed once and counted: few travel to the store,
+    many are joined by shuffle.
     """
-    matches = materialize(matches)
-    small = matches.count() <= BROADCAST_MATCHES
-    return (F.broadcast(matches) if small else matches).join(store.select(item_id, text), item_id)
+    return broadcast_if_small(matches).join(store.select(item_id, text), item_id)
 
 
 def join_texts(retrieved: DataFrame, query_id: str, text: str, out: str = "context") -> DataFrame:

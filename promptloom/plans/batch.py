@@ -10,7 +10,7 @@ from ..models import standins
 from ..operators import sample, stats
 from ..operators.generate import generate
 from ..sources import readers
-from .registry import n_tokens_sql, query, quoted, strip_sql, summary_sql, table
+from .registry import n_tokens_sql, query, quoted, strip_sql, summary_sql, table, texts
 
 PROMPT_SQL = (
     quoted("<s>[INST]<<SYS>>\n" + t.CONCISE_SYSTEM_PROMPT + "\n<</SYS>>\n\n"
@@ -152,12 +152,12 @@ def batch_inference(spark, sf):
           sum(generated_token_count)::BIGINT AS total_generated_tokens FROM c""",
 )
 def batch_stats(spark, sf):
-    return stats.text_stats(infer(table(spark, sf, "documents")), "doc_id", status="status")
+    return stats.text_stats(infer(texts(spark, sf, "documents")), "doc_id", status="status")
 
 
 @query("N1", f"SELECT doc_id, {n_tokens_sql('text')} AS n_tokens, {n_tokens_sql('text', None)} AS n_all FROM documents")
 def token_counts(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents")
     counted = stats.token_columns(docs, {"n_tokens": "text"})
     return stats.token_columns(counted, {"n_all": "text"}, cap=None).select("doc_id", "n_tokens", "n_all")
 
@@ -184,7 +184,7 @@ def generations(spark, sf):
         .when(F.col("lang") == "fr", F.concat(F.lit(" "), body, F.lit(" ")))
         .otherwise(F.concat(F.lit("Q ### Response: "), body, line, F.lit("### End of "), source))
     )
-    return table(spark, sf, "documents").select("doc_id", x.alias("x"))
+    return texts(spark, sf, "documents").select("doc_id", x.alias("x"))
 
 
 @query("F1 F12", f"SELECT doc_id, {strip_sql('''string_split(x, '[/INST]')[-1]''')} AS answer FROM {GENERATION_SQL}")
@@ -236,6 +236,6 @@ def extract_response(spark, sf):
        SELECT doc_id, CASE WHEN p = 2000000000 THEN text ELSE substr(text, 1, p - 1) END AS answer FROM h""",
 )
 def stop_words(spark, sf):
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents").select(
         "doc_id", text.cut_at_stop("text", ["", ". ", "\n"]).alias("answer")
     )

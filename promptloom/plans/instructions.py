@@ -11,7 +11,8 @@ from ..functions.text import strip
 from ..operators import dedup, sample, tokenize
 from ..session import run_path
 from ..sources import readers, writers
-from .registry import TOKEN_SQL, query, quoted, table
+from ..sources.readers import balanced
+from .registry import TOKEN_SQL, query, quoted, table, texts
 
 I = quoted(t.INTRO)
 
@@ -252,7 +253,7 @@ _IDS = f"""list_transform(list_slice(regexp_extract_all(x, '{TOKEN_SQL}'), 1, 25
 )
 def tokenize_pairs(spark, sf):
     rows = tokenize.tokenize_rows(
-        records(spark, sf),
+        balanced(records(spark, sf)),
         lambda: prompts.prompt_and_response("instruction", "response"),
         max_length=256,
         pad_to=256,
@@ -271,7 +272,7 @@ def tokenize_pairs(spark, sf):
         WHERE len(regexp_extract_all(x, '{TOKEN_SQL}')) >= 256""",
 )
 def tokenize_full_length(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents")
     rows = tokenize.tokenize_rows(docs, "text", max_length=256, only_full=True, keep=["doc_id"])
     return rows.select("doc_id", F.concat_ws(",", F.col("input_ids").cast("array<string>")).alias("input_ids"))
 

@@ -9,13 +9,13 @@ from ..functions import prompts, tokens
 from ..models import standins
 from ..operators import generate as g
 from ..operators import partitions, stats
-from .registry import n_tokens_sql, query, summary_sql, table
+from .registry import n_tokens_sql, query, summary_sql, table, texts
 
 
 @query("UD7 UD8 S2", f"SELECT doc_id, {summary_sql('text')} AS answer FROM documents")
 def sql_model_call(spark, sf):
     g.register_model(spark, "stand_in_generate", standins.answer_generator, with_params=True)
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
     return spark.sql(
         """SELECT doc_id, stand_in_generate(named_struct('prompt', text, 'temperature', CAST(0.1 AS DOUBLE))).text AS answer
            FROM {docs}""",
@@ -40,7 +40,7 @@ class Shouter:
 
 @query("UD9 P13 Q7", "SELECT doc_id, length(text)::VARCHAR || CASE WHEN lang = 'en' THEN '!!' ELSE '!' END AS answer FROM documents")
 def model_class_call(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    docs = texts(spark, sf, "documents").select("doc_id", "text", "lang")
     limit = F.coalesce(F.when(F.col("lang") == "en", 2), F.lit(1))
     out = g.generate(docs, "text", "answer", g.model_class(Shouter, "!"), params={"max_tokens": limit})
     return out.select("doc_id", "answer")
@@ -63,7 +63,7 @@ def _small_memory():
        CASE WHEN length(text) <= 20000 THEN 'ok' ELSE 'oom' END AS status FROM documents""",
 )
 def out_of_memory(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
     return g.generate(docs, "text", "answer", _small_memory, batch_size=30).select("doc_id", "answer", "status")
 
 
@@ -78,7 +78,7 @@ _ECHO = f"""(SELECT {n_tokens_sql('text', None)} AS p, {n_tokens_sql("text || ch
         UNION ALL SELECT 'completion', sum(o)::BIGINT FROM {_ECHO}""",
 )
 def throughput(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
     timed = g.generate_timed(docs, "text", "output", standins.echo_generator)
     counted = stats.token_columns(timed, {"p": "text", "o": "output"}, cap=None).select("p", "o", "seconds")
     rows = [
@@ -105,14 +105,14 @@ def _small_batches():
     "(SELECT unnest([1, 3, 5, 7, 10]) AS s)",
 )
 def batch_sizes(spark, sf):
-    sweep = g.batch_size_sweep(table(spark, sf, "documents"), "text", _small_batches, [1, 3, 5, 7, 10, 15, 20])
+    sweep = g.batch_size_sweep(texts(spark, sf, "documents"), "text", _small_batches, [1, 3, 5, 7, 10, 15, 20])
     return sweep.select("batch_size", "n_rows", "success")
 
 
 @query("W3 A8")
 def best_batch_size(spark, sf):
     """Depends on measured times, so there is no SQL to compare with."""
-    sweep = g.batch_size_sweep(table(spark, sf, "documents"), "text", _small_batches, [1, 3, 5, 7, 10])
+    sweep = g.batch_size_sweep(texts(spark, sf, "documents"), "text", _small_batches, [1, 3, 5, 7, 10])
     return g.best_batch_size(sweep)
 
 
@@ -134,6 +134,6 @@ def barrier_run(spark, sf):
         SELECT doc_id, {n_tokens_sql(summary_sql('prompt'))} AS n_answer FROM p""",
 )
 def entity_answers(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
     out = g.generate(docs, prompts.entity_extraction("text"), "answer", standins.answer_generator, batch_size=20)
     return out.select("doc_id", tokens.n_tokens("answer").alias("n_answer"))

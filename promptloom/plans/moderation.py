@@ -12,7 +12,7 @@ from ..operators import guard
 from ..session import run_path
 from ..streaming import inference_log
 from .chats import CHATS_SQL, assembled
-from .registry import query, quoted, strip_sql, summary_sql, table
+from .registry import query, quoted, strip_sql, summary_sql, table, texts
 
 TAXONOMY = standins.TAXONOMY
 
@@ -234,10 +234,8 @@ def mask_sql(expression: str) -> str:
         (r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", "<IBAN_CODE>"),
         (r"\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b", "<CREDIT_CARD>"),
         (r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "<US_SSN>"),
-        (
-            r"\+?[0-9]{0,3}[ .-]?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}\b|\b[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}\b",
-            "<PHONE_NUMBER>",
-        ),
+        (r"(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}\b", "<PHONE_NUMBER>"),
+        (r"\b[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}\b", "<PHONE_NUMBER>"),
     ]
     for pattern, mark in rules:
         expression = f"regexp_replace({expression}, '{pattern}', '{mark}', 'g')"
@@ -246,7 +244,7 @@ def mask_sql(expression: str) -> str:
 
 @query("F20", f"SELECT doc_id, {mask_sql('text')} AS masked FROM documents")
 def pii_mask(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", pii.mask_pii("text").alias("masked"))
+    return texts(spark, sf, "documents").select("doc_id", pii.mask_pii("text").alias("masked"))
 
 
 @query(

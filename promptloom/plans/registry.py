@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.readers import balanced
+
 
 @dataclass(frozen=True)
 class Query:
@@ -32,6 +34,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose texts get heavy per-row work (regex passes, tokenizing, models)."""
+    return balanced(table(spark, sf_dir, name))
+
+
 def quoted(text: str) -> str:
     """A SQL string literal."""
     return "'" + text.replace("'", "''") + "'"

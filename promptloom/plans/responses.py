@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import responses, text, tokens
 from ..sources import readers
-from .registry import n_tokens_sql, query, table
+from .registry import n_tokens_sql, query, table, texts
 
 
 @query(
@@ -42,7 +42,7 @@ _LENGTHS = f"""(SELECT doc_id, {n_tokens_sql('text', None)} AS p, {n_tokens_sql(
 def token_usage(spark, sf):
     texts = F.array(F.concat_ws(" ", "text", "source"), F.col("source"))
     lengths = F.transform(texts, lambda x: tokens.n_tokens(x, 512).cast("bigint"))
-    rows = table(spark, sf, "documents").select(
+    rows = texts(spark, sf, "documents").select(
         "doc_id", texts.alias("t"), lengths.alias("n"), tokens.n_tokens("text", None).alias("p")
     )
     answers = responses.candidates("t", "n", 512)
@@ -61,7 +61,7 @@ def drop_prompt(spark, sf):
     output = F.concat(head, "text")
     prompt = F.when(F.col("lang") == "en", head).otherwise(F.concat(head, F.lit("{")))
     by_tokens = text.drop_prompt_tokens(tokens.tokens(output), tokens.tokens(head))
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents").select(
         "doc_id", text.drop_prompt(output, prompt).alias("by_text"), F.array_join(by_tokens, " ").alias("by_tokens")
     )
 
@@ -103,7 +103,7 @@ def completion_records(spark, sf):
         "doc_id", F.lit(0), "stand-in", "source", F.lit("stop"), tokens.n_tokens("text", None), tokens.n_tokens("source", None)
     )
     r = F.when(F.col("lang") == "es", responses.policy_violation("source")).otherwise(record)
-    rows = table(spark, sf, "documents").select("doc_id", r.alias("r"))
+    rows = texts(spark, sf, "documents").select("doc_id", r.alias("r"))
     choice = F.get(F.col("r.choices"), F.lit(0))
     return rows.select(
         "doc_id",

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_session(app_name: str = "promptloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -46,7 +47,13 @@ def run_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df):
+def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """Compute once, count, and mark for broadcast only when there are at most ``max_rows`` rows."""
+    df = materialize(df)
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage through the reliable checkpoint folder.
 
     Used where one scored frame feeds several branches: a lost executor then re-reads files

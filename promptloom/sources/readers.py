@@ -12,6 +12,16 @@ from ..functions.text import col
 from ..operators.sample import train_test_split
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread a small input over all task slots before heavy per-row work.
+
+    An input with more partitions than slots is left as it is, so at most one partition's worth
+    of data per slot is ever shuffled here.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() <= slots else df
+
+
 def from_rows(spark: SparkSession, rows: Iterable, schema: T.StructType) -> DataFrame:
     """A small list of rows as a table; the schema is stated, not inferred."""
     return spark.createDataFrame(list(rows), schema)
