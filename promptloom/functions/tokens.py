@@ -9,8 +9,9 @@ from .text import col
 
 # A token is a run of letters and digits, or one other visible character.
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
-# The same tokens with the white space in front of them, so that joining pieces gives back the text.
-PIECE = r"\s*[\p{L}\p{N}]+|\s*[^\p{L}\p{N}\s]|\s+"
+# The same tokens with the white space in front of them (and the last one with what follows it), so
+# that joining pieces gives back the text.
+PIECE = r"\s*(?:[\p{L}\p{N}]+|[^\p{L}\p{N}\s])(?:\s+\z)?|\s+"
 
 MAX_TOKENS = 2048
 VOCABULARY = 32000
@@ -27,7 +28,10 @@ def pieces(c: Column | str) -> Column:
 def n_tokens(c: Column | str, cap: int | None = MAX_TOKENS) -> Column:
     """Token count; ``cap`` is the tokenizer's truncation length (None counts everything)."""
     n = F.size(tokens(c))
-    return n if cap is None else F.least(n, F.lit(cap))
+    if cap is None:
+        return n
+    # `least` skips nulls, so a null text needs its own branch to stay null.
+    return F.when(col(c).isNotNull(), F.least(n, F.lit(cap)))
 
 
 def token_ids(token_array: Column, vocabulary: int = VOCABULARY) -> Column:

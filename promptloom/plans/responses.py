@@ -40,14 +40,14 @@ _LENGTHS = f"""(SELECT doc_id, {n_tokens_sql('text', None)} AS p, {n_tokens_sql(
         p + a + b AS total_tokens, CASE WHEN a = 512 THEN 'length' ELSE 'stop' END AS finish_reason FROM {_LENGTHS}""",
 )
 def token_usage(spark, sf):
-    texts = F.array(F.concat_ws(" ", "text", "source"), F.col("source"))
-    lengths = F.transform(texts, lambda x: tokens.n_tokens(x, 512).cast("bigint"))
+    answers = F.array(F.concat_ws(" ", "text", "source"), F.col("source"))
+    lengths = F.transform(answers, lambda x: tokens.n_tokens(x, 512).cast("bigint"))
     rows = texts(spark, sf, "documents").select(
-        "doc_id", texts.alias("t"), lengths.alias("n"), tokens.n_tokens("text", None).alias("p")
+        "doc_id", answers.alias("t"), lengths.alias("n"), tokens.n_tokens("text", None).alias("p")
     )
-    answers = responses.candidates("t", "n", 512)
+    first = F.get(responses.candidates("t", "n", 512), F.lit(0))
     return rows.select(
-        "doc_id", responses.usage("p", "n").alias("u"), F.get(answers, F.lit(0))["finish_reason"].alias("finish_reason")
+        "doc_id", responses.usage("p", "n").alias("u"), first["finish_reason"].alias("finish_reason")
     ).select("doc_id", "u.*", "finish_reason")
 
 
