@@ -27,11 +27,8 @@ def pieces(c: Column | str) -> Column:
 
 def n_tokens(c: Column | str, cap: int | None = MAX_TOKENS) -> Column:
     """Token count; ``cap`` is the tokenizer's truncation length (None counts everything)."""
-    n = F.size(tokens(c))
-    if cap is None:
-        return n
-    # `least` skips nulls, so a null text needs its own branch to stay null.
-    return F.when(col(c).isNotNull(), F.least(n, F.lit(cap)))
+    found = tokens(c)
+    return F.size(found if cap is None else F.slice(found, 1, cap))
 
 
 def token_ids(token_array: Column, vocabulary: int = VOCABULARY) -> Column:

@@ -6,7 +6,6 @@ A model is a *loader*: a function that takes nothing and returns ``predict(promp
 
 from __future__ import annotations
 
-import inspect
 import time
 from collections.abc import Callable, Iterator, Sequence
 
@@ -28,6 +27,26 @@ def is_out_of_memory(error: BaseException) -> bool:
     return isinstance(error, MemoryError) or type(error).__name__ == "OutOfMemoryError"
 
 
+def cached_loader(key: str, loader: Loader) -> Loader:
+    """Load a model once per Python worker process instead of once per task.
+
+    Workers outlive tasks, so with many more partitions than slots this saves nearly all loads.
+    ``key`` names the model, for instance by its path and revision.
+    """
+
+    def load():
+        import sys
+        import types
+
+        # Functions travel by value, so a plain module global would be new in every task.
+        home = sys.modules.setdefault("promptloom_worker_models", types.ModuleType("promptloom_worker_models"))
+        if key not in home.__dict__:
+            home.__dict__[key] = loader()
+        return home.__dict__[key]
+
+    return load
+
+
 def call_with_retry(predict: Callable, prompts: list, params: list | None) -> list[tuple]:
     """``(text, status, error)`` per prompt. A batch that runs out of memory is halved and retried."""
     if not prompts:
@@ -228,7 +247,3 @@ def model_class(cls: type, *args) -> Loader:
         return predict
 
     return loader
-
-
-def takes_params(predict: Callable) -> bool:
-    return len(inspect.signature(predict).parameters) > 1

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -23,12 +24,14 @@ def run_on_partitions(
     schema: str,
     n: int,
     barrier: bool = True,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Run ``function`` over ``n`` partitions that start together (``barrier``).
 
     A barrier stage needs all its tasks at once, so ``n`` must not exceed the cluster's slots.
+    ``profile`` asks for executors with given resources, such as GPUs.
     """
-    return df.repartition(max(1, n)).mapInPandas(function, schema, barrier=barrier)
+    return df.repartition(max(1, n)).mapInPandas(function, schema, barrier=barrier, profile=profile)
 
 
 def run_on_all_slots(spark: SparkSession, function: Callable[[], str], n: int | None = None) -> DataFrame:

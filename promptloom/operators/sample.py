@@ -49,7 +49,8 @@ def find_cut(df: DataFrame, hash_col: Column, n: int | Callable[[int], int]) ->
     prefix, left = "", n if isinstance(n, int) else 0
     while len(prefix) < _HEX:
         level = hashes.where(F.col("h").startswith(prefix)) if prefix else hashes
-        counts = level.groupBy(F.substring("h", len(prefix) + 1, _STEP).alias("p")).count().collect()
+        bucket = F.substring("h", len(prefix) + 1, _STEP).alias("p")
+        counts = level.groupBy(bucket).agg(F.count(F.lit(1)).alias("count"), F.max("h").alias("top")).collect()
         if not prefix:
             total = sum(r["count"] for r in counts)
             left = n if isinstance(n, int) else n(total)
@@ -59,6 +60,9 @@ def find_cut(df: DataFrame, hash_col: Column, n: int | Callable[[int], int]) ->
             if left <= row["count"]:
                 break
             left -= row["count"]
+        if left == row["count"]:
+            # The whole bucket is in (always so when it holds one row).
+            return Cut(row["top"], left, left)
         prefix, size = prefix + row["p"], row["count"]
         if size <= _FINE and len(prefix) < _HEX:
             listed = hashes.where(F.col("h").startswith(prefix)).groupBy("h").count().collect()

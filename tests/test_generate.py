@@ -147,3 +147,16 @@ def test_sweep_stops_at_the_first_failing_size(spark):
 def test_one_call_per_slot(spark):
     assert [r["res"] for r in partitions.run_on_all_slots(spark, lambda: "OK", 3).collect()] == ["OK"] * 3
     assert partitions.one_row_per_partition(spark, 4).rdd.getNumPartitions() == 4
+
+
+def test_models_can_be_kept_per_worker(spark):
+    loads = spark.sparkContext.accumulator(0)
+
+    def slow():
+        loads.add(1)
+        return lambda prompts: [p + "!" for p in prompts]
+
+    loader = g.cached_loader("model@1", slow)
+    frame = spark.range(0, 64, 1, 64).select(F.col("id").cast("string").alias("p"))
+    assert g.generate(frame, "p", "a", loader).where("a = p || '!'").count() == 64
+    assert 1 <= loads.value < 64
