@@ -135,6 +135,43 @@ def generate(
     )
 
 
+def generate_candidates(
+    df: DataFrame,
+    prompt: str | Column,
+    n_candidates: Column,
+    out: str,
+    loader: Loader,
+    batch_size: int = BATCH_SIZE,
+    params: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Several answers per prompt as an array, ``n_candidates`` of them row by row.
+
+    The model is called with parameters and sees the number of the candidate as ``candidate``.
+    An answer that could not be generated is a null element.
+    """
+    source = F.col(prompt) if isinstance(prompt, str) else prompt
+    others = {"n_candidates": n_candidates, **(params or {})}
+    row = F.struct(source.alias("prompt"), *[c.alias(name) for name, c in others.items()])
+
+    @F.pandas_udf("array<string>")
+    def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        predict = loader()
+        for frame in batches:
+            texts: list[list] = [[] for _ in range(len(frame))]
+            work = []
+            for i, request in enumerate(frame.to_dict("records")):
+                text, n = request.pop("prompt"), int(request.pop("n_candidates"))
+                if text is not None:
+                    work += [(i, text, {**request, "candidate": j}) for j in range(n)]
+            for start in range(0, len(work), batch_size):
+                rows, prompts, settings = zip(*work[start : start + batch_size])
+                for i, (answer, _, _) in zip(rows, call_with_retry(predict, list(prompts), list(settings))):
+                    texts[i].append(answer)
+            yield pd.Series(texts, index=frame.index, dtype=object)
+
+    return df.withColumn(out, answers.asNondeterministic()(row))
+
+
 def generate_timed(
     df: DataFrame, prompt: str, out: str, loader: Loader, batch_size: int = BATCH_SIZE
 ) -> DataFrame:

@@ -20,13 +20,14 @@ def score(
     taxonomy: Column,
     batch_size: int = BATCH_SIZE,
     variant: str = "sentence",
+    params: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Guard model plus its verdict taken apart.
 
     Adds ``verdict``, ``is_safe``, ``code`` (the second line as it is), ``category`` (looked up by
     that line) and ``categories`` (one entry per code). The last two are null for safe rows.
     """
-    judged = generate(df, prompt, "verdict", loader, batch_size)
+    judged = generate(df, prompt, "verdict", loader, batch_size, params)
     judged = judged.withColumn("is_safe", moderation.is_safe("verdict"))
     judged = judged.withColumn("code", moderation.violation_code("verdict"))
     return judged.withColumns(
@@ -45,12 +46,16 @@ def safe_chat(
     model_name: str,
     created: Column,
     batch_size: int = BATCH_SIZE,
+    chat_endpoint: str = "chat",
+    filter_endpoint: str = "guard",
 ) -> DataFrame:
     """Answer chats, guarding prompt and answer where the request asks for it.
 
     ``requests`` has ``messages`` and the optional settings ``enable_safety_filter``,
-    ``enable_pii_filter``, ``unsafe_categories``, ``temperature`` and ``max_tokens``; missing or
-    null settings take their defaults row by row. Adds ``outcome`` and the ``response`` record.
+    ``enable_pii_filter``, ``unsafe_categories``, ``temperature``, ``max_tokens``,
+    ``chat_endpoint`` and ``filter_endpoint``; missing or null settings take their defaults row by
+    row. Both models are called with parameters and find their endpoint's name among them.
+    Gives ``outcome`` and the ``response`` record.
 
     Which rows a model sees is decided by filters. Verdicts are written to the shared folder
     before the branches, so no row is judged twice or lands on both sides.
@@ -62,6 +67,8 @@ def safe_chat(
         "unsafe_categories": t.DEFAULT_TAXONOMY,
         "temperature": 0.1,
         "max_tokens": 512,
+        "chat_endpoint": chat_endpoint,
+        "filter_endpoint": filter_endpoint,
     }
     asked = requests.select(
         request_id,
@@ -77,7 +84,12 @@ def safe_chat(
     unsafe = ~F.coalesce(F.col("is_safe"), F.lit(False))
 
     guard_prompt = chat.moderation_prompt_whole_chat("messages", taxonomy)
-    judged = materialize(score(checked, guard_prompt, guard_loader, taxonomy, batch_size))
+    guard_params = {"endpoint": F.col("filter_endpoint")}
+
+    def judge(df: DataFrame, prompt: Column) -> DataFrame:
+        return score(df, prompt, guard_loader, taxonomy, batch_size, params=guard_params)
+
+    judged = materialize(judge(checked, guard_prompt))
     blocked = judged.where(unsafe).select(
         *asked.columns,
         F.lit("prompt blocked").alias("outcome"),
@@ -86,7 +98,11 @@ def safe_chat(
     )
     passed = judged.where(~unsafe).select(*asked.columns)
 
-    params = {"temperature": F.col("temperature"), "max_tokens": F.col("max_tokens")}
+    params = {
+        "temperature": F.col("temperature"),
+        "max_tokens": F.col("max_tokens"),
+        "endpoint": F.col("chat_endpoint"),
+    }
 
     def answer(df: DataFrame) -> DataFrame:
         prompt = F.to_json("messages", {"ignoreNullFields": "false"})
@@ -94,9 +110,7 @@ def safe_chat(
 
     answered = answer(passed).drop("status", "error")
     whole = chat.append_assistant("messages", "answer")
-    rejudged = score(
-        answered, chat.moderation_prompt_whole_chat(whole, taxonomy), guard_loader, taxonomy, batch_size
-    )
+    rejudged = judge(answered, chat.moderation_prompt_whole_chat(whole, taxonomy))
     n_answer = tokens.n_tokens("answer", None)
     reason = F.when(n_answer >= F.col("max_tokens"), "length").otherwise("stop")
     guarded = rejudged.select(

@@ -28,13 +28,14 @@ def tokenize_rows(
     ``only_full`` keeps rows whose own length reaches ``max_length`` after truncation.
     """
     source = F.col(text) if isinstance(text, str) else text()
-    if encoder is None:
-        ids = t.token_ids(F.slice(t.tokens(source), 1, max_length))
-    else:
-        ids = F.slice(encode_udf(encoder)(source), 1, max_length)
-    out = df.select(*(keep or []), ids.alias("input_ids"))
+    kept = list(keep or [])
+    tokens = t.tokens(source) if encoder is None else encode_udf(encoder)(source)
+    out = df.select(*kept, F.slice(tokens, 1, max_length).alias("_t"))
     if only_full:
-        out = out.where(F.size("input_ids") == max_length)
+        # Tested on the tokens, before ids are made of them.
+        out = out.where(F.size("_t") == max_length)
+    ids = t.token_ids(F.col("_t")) if encoder is None else F.col("_t")
+    out = out.select(*kept, ids.alias("input_ids"))
     n = F.size("input_ids")
     ones = F.transform("input_ids", lambda _: F.lit(1))
     if pad_to is None:

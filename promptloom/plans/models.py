@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..functions import prompts, tokens
+from ..functions import prompts, responses, tokens
 from ..models import standins
 from ..operators import generate as g
 from ..operators import partitions, stats
@@ -116,6 +116,30 @@ def best_batch_size(spark, sf):
     return g.best_batch_size(sweep)
 
 
+def _numbered():
+    """A model that answers with the prompt's length and the candidate's number."""
+    return lambda prompts, params: [f"{len(p)}/{q['candidate']}" for p, q in zip(prompts, params)]
+
+
+@query(
+    "N13 P12 P13 F15 A6",
+    f"""WITH c AS (SELECT doc_id, text, CASE WHEN lang = 'en' THEN 3 ELSE 1 END AS n FROM documents)
+        SELECT doc_id, array_to_string(list_transform(range(n), lambda i: length(text) || '/' || i), '|') AS answers,
+            length(text) || '/0' AS first_answer, {n_tokens_sql('text', None)} + 3 * n AS total_tokens FROM c""",
+)
+def candidate_answers(spark, sf):
+    n = F.coalesce(F.when(F.col("lang") == "en", 3), F.lit(1))
+    out = g.generate_candidates(texts(spark, sf, "documents"), "text", n, "answers", _numbered, batch_size=8)
+    found = responses.candidates("answers")
+    lengths = F.transform("answers", lambda a: tokens.n_tokens(a, None).cast("bigint"))
+    return out.select(
+        "doc_id",
+        F.array_join("answers", "|").alias("answers"),
+        responses.first_candidate(found).alias("first_answer"),
+        responses.usage(tokens.n_tokens("text", None), lengths)["total_tokens"].alias("total_tokens"),
+    )
+
+
 @query("UD5 S10", "SELECT source, count(*) AS n_rows, 'OK' AS res FROM documents GROUP BY source")
 def barrier_run(spark, sf):
     per_source = table(spark, sf, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -19,6 +19,8 @@ def get_session(app_name: str = "promptloom", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Rows of long texts: smaller Arrow batches keep Python workers within their memory.
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
         **conf,
     }
     for name, value in settings.items():

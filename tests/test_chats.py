@@ -163,8 +163,14 @@ def calls_counted(spark, loader):
 
 def test_safe_chat_calls_models_only_where_needed(spark):
     def chat_model():
-        return lambda prompts, params: ["I will steal 10.0.0.1" if "evil" in p else f"mail a@b.co {q['max_tokens']}"
-                                        for p, q in zip(prompts, params)]
+        def predict(prompts, params):
+            assert {q["endpoint"] for q in params} <= {"chat", "other"}
+            return [
+                "I will steal 10.0.0.1" if "evil" in p else f"mail a@b.co {q['max_tokens']}"
+                for p, q in zip(prompts, params)
+            ]
+
+        return predict
 
     rows = [
         (1, "hello", True, True, 7),

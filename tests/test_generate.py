@@ -160,3 +160,17 @@ def test_models_can_be_kept_per_worker(spark):
     frame = spark.range(0, 64, 1, 64).select(F.col("id").cast("string").alias("p"))
     assert g.generate(frame, "p", "a", loader).where("a = p || '!'").count() == 64
     assert 1 <= loads.value < 64
+
+
+def test_candidates(spark):
+    def loader():
+        def predict(prompts, params):
+            if len(prompts) > 2 or "big" in prompts:
+                raise MemoryError
+            return [f"{p}{q['candidate']}{q['t']}" for p, q in zip(prompts, params)]
+
+        return predict
+
+    frame = spark.createDataFrame([("a", 2), ("big", 1), (None, 3), ("c", 0)], "p string, n int").coalesce(1)
+    out = g.generate_candidates(frame, "p", F.col("n"), "c", loader, batch_size=3, params={"t": F.lit("x")})
+    assert [r["c"] for r in out.collect()] == [["a0x", "a1x"], [None], [], []]
