@@ -34,14 +34,11 @@ def shared_dir(spark: SparkSession) -> str:
     On a cluster this is ``spark.checkpoint.dir``. Only where that is unset (tests, one machine)
     is a temporary folder made and announced to Spark as its checkpoint folder.
     """
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="promptloom-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="promptloom-"))
+    return (configured or context.getCheckpointDir()).rstrip("/")
 
 
 def run_path(spark: SparkSession, name: str) -> str:
@@ -55,11 +52,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage through the reliable checkpoint folder.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage: write the frame as a table in the shared folder and read it back.
 
-    Used where one scored frame feeds several branches: a lost executor then re-reads files
-    instead of calling the (possibly sampling) model a second time.
+    Used where one computed frame feeds several branches. A lost executor then re-reads files
+    instead of calling the (possibly sampling) model a second time, readers fetch only the columns
+    they need, and Spark knows the size of the result when it plans joins.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = run_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

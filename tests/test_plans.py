@@ -84,3 +84,13 @@ def test_search_filter_reaches_the_scan_and_top_k_is_partial(spark, sf):
 def test_not_like_is_pushed_down(spark, sf):
     docs = table(spark, sf, "documents").where(~F.col("source").contains("src1"))
     assert "Not(StringContains(source,src1))" in plan(docs)
+
+
+def test_dedup_of_long_rows_moves_fingerprints_only(spark, sf):
+    """No exchange carries the text of rows that occur once."""
+    from promptloom.operators import dedup
+
+    docs = table(spark, sf, "documents").select("text", "lang")
+    text_plan = plan(dedup.drop_duplicate_rows(docs, long_rows=True), "simple")
+    assert text_plan.count("hashpartitioning(text") == 1
+    assert text_plan.index("LeftAnti") < text_plan.index("hashpartitioning(text") < text_plan.index("LeftSemi")

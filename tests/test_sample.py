@@ -113,3 +113,25 @@ def test_dedup(spark):
     assert dedup.unique_values(rows, "prompt").count() == 2
     by_position = dedup.stack_splits(rows, rows.selectExpr("response as x", "prompt as y"))
     assert by_position.columns == ["prompt", "response"] and by_position.count() == 8
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+def test_dedup_of_long_rows_is_exact(spark, monkeypatch, limit):
+    """A third of the rows are copies of one row; nulls, single rows and the fall-back agree."""
+    monkeypatch.setattr(dedup, "BROADCAST_FINGERPRINTS", limit)
+    i = F.col("id")
+    rows = spark.range(3000).select(
+        F.when(i % 3 == 0, "hot").when(i % 7 == 0, F.lit(None)).otherwise((i % 500).cast("string")).alias("a"),
+        F.when(i % 3 == 0, F.lit(None)).otherwise((i % 2).cast("string")).alias("b"),
+    )
+    got = dedup.drop_duplicate_rows(rows, long_rows=True)
+    want = {tuple(r) for r in rows.collect()}
+    assert got.count() == len(want) and {tuple(r) for r in got.collect()} == want
+
+
+def test_colliding_fingerprints_lose_nothing(spark):
+    """The fingerprint skips nulls, so these two different rows share one."""
+    rows = spark.createDataFrame([("x", None), (None, "x"), ("x", None)], "a string, b string")
+    assert rows.select(F.xxhash64("a", "b")).distinct().count() == 1
+    got = dedup.drop_duplicate_rows(rows, long_rows=True).collect()
+    assert len(got) == 2 and {tuple(r) for r in got} == {("x", None), (None, "x")}

@@ -14,18 +14,39 @@ from promptloom.sources import readers, writers
 from promptloom.streaming import inference_log
 
 
-def test_shared_folder_follows_the_session(spark, monkeypatch):
-    own = session.shared_dir(spark)
-    assert own == session.shared_dir(spark) and session.run_path(spark, "x") != session.run_path(spark, "x")
+class FakeContext:
+    folder = None
+
+    def getCheckpointDir(self):
+        return self.folder
 
-    class Conf:
-        def get(self, name, default=None):
-            return "hdfs://shared/ckpt/" if name == "spark.checkpoint.dir" else default
+    def setCheckpointDir(self, folder):
+        self.folder = folder
 
+
+@pytest.mark.parametrize("announced", [None, "hdfs://shared/ckpt/run-1"])
+def test_shared_folder_follows_the_session(announced):
     class Session:
-        conf = Conf()
+        conf = {"spark.checkpoint.dir": "hdfs://shared/ckpt/"}
+        sparkContext = FakeContext()
+
+    Session.sparkContext.folder = announced
+    assert session.shared_dir(Session) == "hdfs://shared/ckpt"
+    assert Session.sparkContext.folder == (announced or "hdfs://shared/ckpt/")
+
+
+def test_own_folder_where_none_is_set(spark):
+    own = session.shared_dir(spark)
+    assert own == session.shared_dir(spark) and session.run_path(spark, "x") != session.run_path(spark, "x")
+    assert session.run_path(spark, "x").startswith(own)
+
 
-    assert session.shared_dir(Session()) == "hdfs://shared/ckpt"
+def test_materialized_frames_are_tables_of_their_own(spark):
+    frame = spark.range(5).selectExpr("id", "array(id) a", "named_struct('x', id) s", "CAST(NULL AS string) n")
+    kept = session.materialize(frame)
+    assert sorted(kept.collect()) == sorted(frame.collect()) and kept.schema.names == frame.schema.names
+    assert session.materialize(frame.where("false")).count() == 0
+    assert "Range" not in kept._jdf.queryExecution().toString()
 
 
 def test_rows_paths_and_names(spark, tmp_path):
