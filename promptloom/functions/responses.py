@@ -6,9 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import templates as t
-from .text import col
+from .text import col, finish_reason
 from ..schemas import COMPLETION
 
+# Fixed value: the route named in the metadata of chat responses.
+CHAT_ROUTE = "llm/v1/chat"
+
 
 def first_candidate(candidates: Column | str) -> Column:
     """Text of the first of ``[{message: {role, content}}]``; null when there is none."""
@@ -39,7 +42,7 @@ def usage(prompt_tokens: Column | str, completion_lengths: Column | str) -> Colu
 
 
 def candidates(texts: Column | str, lengths: Column | str | None = None, max_tokens=None) -> Column:
-    """``[{message, finish_reason}]`` from generated texts (and their token counts)."""
+    """``[{message}]`` from generated texts; with token counts also ``metadata.finish_reason``."""
     if lengths is None:
         return F.transform(col(texts), lambda x: F.struct(_assistant(x).alias("message")))
     limit = max_tokens if isinstance(max_tokens, Column) else F.lit(max_tokens)
@@ -48,9 +51,53 @@ def candidates(texts: Column | str, lengths: Column | str | None = None, max_tok
         col(lengths),
         lambda x, n: F.struct(
             _assistant(x).alias("message"),
-            F.when(n == limit, "length").otherwise("stop").alias("finish_reason"),
+            F.struct(finish_reason(n, limit).alias("finish_reason")).alias("metadata"),
+        ),
+    )
+
+
+def candidates_response(
+    texts: Column | str, lengths: Column | str, prompt_tokens: Column | str, max_tokens, model: str
+) -> Column:
+    """The record of a chat route: candidates and their metadata with true token counts."""
+    counted = usage(prompt_tokens, lengths)
+    return F.struct(
+        candidates(texts, lengths, max_tokens).alias("candidates"),
+        F.struct(
+            counted["prompt_tokens"].alias("input_tokens"),
+            counted["completion_tokens"].alias("output_tokens"),
+            counted["total_tokens"].alias("total_tokens"),
+            F.lit(model).alias("model"),
+            F.lit(CHAT_ROUTE).alias("route_type"),
+        ).alias("metadata"),
+    )
+
+
+def text_completion(
+    request_id: Column | str,
+    texts: Column | str,
+    lengths: Column | str,
+    prompt_tokens: Column | str,
+    max_tokens,
+    model: str,
+) -> Column:
+    """The record of a completion service with one choice per candidate."""
+    limit = max_tokens if isinstance(max_tokens, Column) else F.lit(max_tokens)
+    numbered = F.transform(col(texts), lambda x, i: F.struct(x.alias("text"), i.alias("index")))
+    choices = F.zip_with(
+        numbered,
+        col(lengths),
+        lambda c, n: F.struct(
+            c["text"].alias("text"), c["index"].alias("index"), finish_reason(n, limit).alias("finish_reason")
         ),
     )
+    return F.struct(
+        col(request_id).cast("string").alias("request_id"),
+        F.lit("text_completion").alias("object"),
+        F.lit(model).alias("model"),
+        choices.alias("choices"),
+        usage(prompt_tokens, lengths).alias("usage"),
+    )
 
 
 def _assistant(text: Column, role: str = "assistant") -> Column:

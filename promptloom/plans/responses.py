@@ -47,10 +47,36 @@ def token_usage(spark, sf):
     )
     first = F.get(responses.candidates("t", "n", 512), F.lit(0))
     return rows.select(
-        "doc_id", responses.usage("p", "n").alias("u"), first["finish_reason"].alias("finish_reason")
+        "doc_id", responses.usage("p", "n").alias("u"), first["metadata"]["finish_reason"].alias("finish_reason")
     ).select("doc_id", "u.*", "finish_reason")
 
 
+@query(
+    "F24 F15 P12",
+    f"""SELECT doc_id, text || ' ' || source AS first_text, p + a + b AS chat_total, doc_id::VARCHAR AS request_id,
+        CASE WHEN b = 512 THEN 'length' ELSE 'stop' END AS second_reason, 1 AS second_index,
+        greatest(a, b) AS longest, 'llm/v1/chat' AS route_type FROM {_LENGTHS} JOIN documents USING (doc_id)""",
+)
+def service_records(spark, sf):
+    answers = F.array(F.concat_ws(" ", "text", "source"), F.col("source"))
+    lengths = F.transform(answers, lambda x: tokens.n_tokens(x, 512).cast("bigint"))
+    rows = texts(spark, sf, "documents").select(
+        "doc_id", answers.alias("t"), lengths.alias("n"), tokens.n_tokens("text", None).alias("p")
+    )
+    chat = responses.candidates_response("t", "n", "p", 512, "stand-in")
+    text_record = responses.text_completion("doc_id", "t", "n", "p", 512, "stand-in")
+    return rows.select("doc_id", chat.alias("c"), text_record.alias("r")).select(
+        "doc_id",
+        responses.first_candidate("c.candidates").alias("first_text"),
+        F.col("c.metadata.total_tokens").alias("chat_total"),
+        F.col("r.request_id").alias("request_id"),
+        F.get("r.choices", F.lit(1))["finish_reason"].alias("second_reason"),
+        F.get("r.choices", F.lit(1))["index"].alias("second_index"),
+        F.col("r.usage.longest_completion_tokens").alias("longest"),
+        F.col("c.metadata.route_type").alias("route_type"),
+    )
+
+
 @query(
     "F16",
     """SELECT doc_id, CASE WHEN lang = 'en' THEN text ELSE source || ' ' || text END AS by_text,

@@ -139,7 +139,7 @@ def test_responses(spark):
         responses.candidates("t", "n", 5).alias("c"), responses.usage("p", "n").alias("u")
     )
     first, empty = rows.select("c", "u", responses.first_candidate("c").alias("f")).collect()
-    assert [c["finish_reason"] for c in first["c"]] == ["stop", "length"] and first["f"] == "a"
+    assert [c["metadata"]["finish_reason"] for c in first["c"]] == ["stop", "length"] and first["f"] == "a"
     assert tuple(first["u"]) == (2, 5, 8, 10) and empty["f"] is None and empty["u"]["total_tokens"] == 2
     row = spark.range(1).select(responses.json_response(F.lit(None).cast("string"))).first()
     assert row[0] == '{"response":null}'
