@@ -111,9 +111,9 @@ def _inference_sql(rows: str) -> str:
     return f"""WITH d AS (SELECT doc_id, text AS article, {PROMPT_SQL} AS instruction FROM {rows}),
         g AS (SELECT *, {summary_sql('instruction')} AS cleaned_llm_summary FROM d),
         c AS (SELECT doc_id, cleaned_llm_summary, 'ok' AS status,
-                     {n_tokens_sql('article')} AS article_token_count,
-                     {n_tokens_sql('instruction')} AS instruction_token_count,
-                     {n_tokens_sql('cleaned_llm_summary')} AS generated_token_count FROM g)"""
+                     {n_tokens_sql('article')}::INTEGER AS article_token_count,
+                     {n_tokens_sql('instruction')}::INTEGER AS instruction_token_count,
+                     {n_tokens_sql('cleaned_llm_summary')}::INTEGER AS generated_token_count FROM g)"""
 
 
 def infer(rows):
@@ -155,7 +155,7 @@ def batch_stats(spark, sf):
     return stats.text_stats(infer(texts(spark, sf, "documents")), "doc_id", status="status")
 
 
-@query("N1", f"SELECT doc_id, {n_tokens_sql('text')} AS n_tokens, {n_tokens_sql('text', None)} AS n_all FROM documents")
+@query("N1", f"SELECT doc_id, {n_tokens_sql('text')}::INTEGER AS n_tokens, {n_tokens_sql('text', None)}::INTEGER AS n_all FROM documents")
 def token_counts(spark, sf):
     docs = texts(spark, sf, "documents")
     counted = stats.token_columns(docs, {"n_tokens": "text"})

@@ -249,7 +249,7 @@ _IDS = f"""list_transform(list_slice(regexp_extract_all(x, '{TOKEN_SQL}'), 1, 25
     "N2 N3 R8",
     f"""WITH i AS (SELECT doc_id, {_IDS} AS ids FROM (SELECT doc_id, instruction || response AS x FROM {RECORDS_SQL}))
         SELECT doc_id, array_to_string(list_concat(ids, list_transform(range(len(ids), 256), lambda z: 0::INTEGER)), ',') AS input_ids,
-        len(ids) AS n_attended FROM i""",
+        len(ids)::INTEGER AS n_attended FROM i""",
 )
 def tokenize_pairs(spark, sf):
     rows = tokenize.tokenize_rows(
@@ -300,7 +300,7 @@ def training_shards(spark, sf):
 
 @query(
     "P7 F12",
-    f"SELECT doc_id, length(trim(instruction)) AS n FROM {RECORDS_SQL} WHERE length(context) > 1",
+    f"SELECT doc_id, length(trim(instruction))::INTEGER AS n FROM {RECORDS_SQL} WHERE length(context) > 1",
 )
 def long_contexts(spark, sf):
     kept = records(spark, sf).where(F.length("context") > 1)

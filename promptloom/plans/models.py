@@ -155,7 +155,7 @@ def barrier_run(spark, sf):
 @query(
     "N13 R15",
     f"""WITH p AS (SELECT doc_id, '<s>[INST] <<SYS>>Extract entities from the text below.<</SYS>> ' || text || ' [/INST] ' AS prompt FROM documents)
-        SELECT doc_id, {n_tokens_sql(summary_sql('prompt'))} AS n_answer FROM p""",
+        SELECT doc_id, {n_tokens_sql(summary_sql('prompt'))}::INTEGER AS n_answer FROM p""",
 )
 def entity_answers(spark, sf):
     docs = texts(spark, sf, "documents").select("doc_id", "text")
