@@ -19,6 +19,8 @@ from ..session import broadcast_if_small, materialize
 BROADCAST_BYTES = 64 << 20
 # Scores held at once by one task: 32 MB of doubles.
 BLOCK_SCORES = 4_000_000
+# Queries scored at a time.
+QUERY_SLAB = 4096
 # Scores are compared after rounding: float32 embeddings carry no more digits, and equal rounded
 # scores are ordered by id, so results do not depend on the order of additions.
 DIGITS = 6
@@ -98,20 +100,46 @@ def keep_best(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
     return query[kept], ids[kept], scores[kept]
 
 
-def block_best(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int, digits: int, state):
-    """Merge one block of unit rows into the running best of all queries."""
-    step = max(1, BLOCK_SCORES // max(1, len(rows)))
-    for start in range(0, len(queries), step):
-        scores = np.round(rows @ queries[start : start + step].T, digits) + 0.0
-        if len(rows) > k:
-            # Everything at or above the k-th best score of this block, ties included.
-            floor = np.partition(scores, len(rows) - k, axis=0)[len(rows) - k]
-            r, q = np.nonzero(scores >= floor)
-        else:
-            r, q = (a.ravel() for a in np.indices(scores.shape))
-        found = (q + start, ids[r], scores[r, q])
-        state = keep_best(*(np.concatenate(p) for p in zip(state, found)), k) if state else keep_best(*found, k)
-    return state
+class RunningBest:
+    """The best ``k`` items of each query over the blocks of unit rows seen so far."""
+
+    def __init__(self, queries: np.ndarray, k: int, digits: int):
+        self.slabs = [queries[a : a + QUERY_SLAB] for a in range(0, len(queries), QUERY_SLAB)]
+        self.k, self.digits = k, digits
+        self.found: list = [None] * len(self.slabs)
+        # Scores a new item must reach: the k-th best of each query, or nothing yet.
+        self.floors = [np.full(len(slab), -np.inf) for slab in self.slabs]
+        self.block_rows = max(1, BLOCK_SCORES // max(1, min(len(queries), QUERY_SLAB)))
+
+    def add(self, ids: np.ndarray, rows: np.ndarray) -> None:
+        for start in range(0, len(rows), self.block_rows):
+            block = slice(start, start + self.block_rows)
+            for n in range(len(self.slabs)):
+                self._add_block(n, ids[block], rows[block])
+
+    def _add_block(self, n: int, ids: np.ndarray, rows: np.ndarray) -> None:
+        k, floor = self.k, self.floors[n]
+        scores = rows @ self.slabs[n].T
+        if len(rows) > k and np.isinf(floor).any():
+            # Not yet full: at least the k best of this block.
+            floor = np.maximum(floor, np.partition(scores, len(rows) - k, axis=0)[len(rows) - k])
+        # One unit of the last digit below the floor, so that ties after rounding are all kept.
+        r, q = np.nonzero(scores >= floor - 10.0**-self.digits)
+        if not len(r):
+            return
+        new = (q, ids[r], np.round(scores[r, q], self.digits) + 0.0)
+        old = self.found[n]
+        best = keep_best(*(new if old is None else map(np.concatenate, zip(old, new))), k)
+        self.found[n] = best
+        sizes = np.bincount(best[0], minlength=len(self.floors[n]))
+        last = np.cumsum(sizes) - 1
+        full = sizes == k
+        self.floors[n][full] = best[2][last[full]]
+
+    def result(self):
+        """Query number, item id and score, or None when nothing was added."""
+        parts = [(q + n * QUERY_SLAB, i, s) for n, f in enumerate(self.found) if f for q, i, s in [f]]
+        return tuple(map(np.concatenate, zip(*parts))) if parts else None
 
 
 def _id_array(column) -> np.ndarray:
@@ -121,10 +149,6 @@ def _id_array(column) -> np.ndarray:
     return values.astype(str) if values.dtype == object else values
 
 
-def _blocks(n_rows: int, n_queries: int) -> int:
-    return max(1, min(n_rows, BLOCK_SCORES // max(1, min(n_queries, 4096))))
-
-
 # --- search --------------------------------------------------------------------------------------
 
 
@@ -187,18 +211,14 @@ def _broadcast_top_k(asked, items, k, digits, schema) -> DataFrame:
         query_names, queries = wanted.value
         if not len(queries):
             return
-        state, id_type = None, None
+        best, id_type = RunningBest(queries, k, digits), None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids, rows = _id_array(batch.column(0)), unit_rows(as_matrix(batch.column(1)))
-            id_type = batch.schema.field(0).type
-            step = _blocks(len(rows), len(queries))
-            for start in range(0, len(rows), step):
-                block = slice(start, start + step)
-                state = block_best(rows[block], ids[block], queries, k, digits, state)
-        if state:
-            q, i, s = state
+            if batch.num_rows:
+                id_type = batch.schema.field(0).type
+                best.add(_id_array(batch.column(0)), unit_rows(as_matrix(batch.column(1))))
+        result = best.result()
+        if result:
+            q, i, s = result
             yield pa.RecordBatch.from_arrays(
                 [query_names.take(pa.array(q)), pa.array(i, type=id_type), pa.array(s)],
                 names=["_q", "_i", "score"],
@@ -231,13 +251,9 @@ def _tiled_top_k(asked, items, k, digits, schema, size, slab_bytes, tile_rows) -
     def score(key: tuple, tile: pa.Table, slab: pa.Table) -> pa.Table:
         if not tile.num_rows or not slab.num_rows:
             return pa.table({n: pa.array([], type=t) for n, t in zip(names, _types(tile, slab))})
-        ids, rows = _id_array(tile.column("_i")), unit_rows(as_matrix(tile.column("_v")))
-        queries, state = unit_rows(as_matrix(slab.column("_w"))), None
-        step = _blocks(len(rows), len(queries))
-        for start in range(0, len(rows), step):
-            block = slice(start, start + step)
-            state = block_best(rows[block], ids[block], queries, k, digits, state)
-        q, i, s = state
+        best = RunningBest(unit_rows(as_matrix(slab.column("_w"))), k, digits)
+        best.add(_id_array(tile.column("_i")), unit_rows(as_matrix(tile.column("_v"))))
+        q, i, s = best.result()
         q_type, i_type, _ = _types(tile, slab)
         found = slab.column("_q").combine_chunks().take(pa.array(q))
         return pa.table({"_q": found.cast(q_type), "_i": pa.array(i, type=i_type), "score": pa.array(s)})

@@ -96,10 +96,11 @@ def frames(spark, data):
 
 
 @pytest.mark.parametrize("limit", [1 << 20, 500])
-@pytest.mark.parametrize("block", [4_000_000, 100])
-def test_search_is_exact(spark, data, limit, block, monkeypatch):
+@pytest.mark.parametrize("block,slab", [(4_000_000, 4096), (100, 4096), (60, 7)])
+def test_search_is_exact(spark, data, limit, block, slab, monkeypatch):
     """Broadcast and tiled path, whole and sliced score blocks, all equal brute force."""
     monkeypatch.setattr(search, "BLOCK_SCORES", block)
+    monkeypatch.setattr(search, "QUERY_SLAB", slab)
     store, asked = frames(spark, data)
     found = search.top_k(asked, store, 7, broadcast_bytes=limit, tile_rows=90).orderBy("query_id", "rank").collect()
     got = {}
