@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import cut_at_stop, drop_prompt
 from ..schemas import GENERATION
 
 Loader = Callable[[], Callable[..., Sequence]]
@@ -64,8 +65,10 @@ def call_with_retry(predict: Callable, prompts: list, params: list | None) -> li
     return call_with_retry(predict, prompts[:half], head) + call_with_retry(predict, prompts[half:], tail)
 
 
-def generation_udf(loader: Loader, batch_size: int = BATCH_SIZE, with_params: bool = False):
-    """Iterator UDF giving ``struct<text, status, error>``.
+def generation_udf(
+    loader: Loader, batch_size: int = BATCH_SIZE, with_params: bool = False, text_only: bool = False
+):
+    """Iterator UDF giving ``struct<text, status, error>``, or with ``text_only`` just the text.
 
     Batches are sliced here, so no session setting changes. Null prompts skip the model. The UDF
     is declared non-deterministic: a sampling model must not be called twice by a rewritten plan.
@@ -81,24 +84,41 @@ def generation_udf(loader: Loader, batch_size: int = BATCH_SIZE, with_params: bo
                 rows[i] = result
         return pd.DataFrame(rows, columns=["text", "status", "error"])
 
+    def split_params(batch) -> tuple[pd.Series, list | None]:
+        if not with_params:
+            return batch, None
+        return batch["prompt"], batch.drop(columns="prompt").to_dict("records")
+
+    def results(batches: Iterator) -> Iterator[pd.DataFrame]:
+        predict = loader()
+        for batch in batches:
+            yield run(predict, *split_params(batch))
+
+    # Spark reads the kind of UDF from the type hints, so each of the four kinds is spelled out.
+    if text_only:
+        if with_params:
+
+            def generate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+                return (r["text"] for r in results(batches))
+
+        else:
+
+            def generate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+                return (r["text"] for r in results(batches))
+
+        return F.pandas_udf(generate, "string").asNondeterministic()
+
     if with_params:
 
-        @F.pandas_udf(GENERATION)
-        def generate_with_params(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            predict = loader()
-            for frame in batches:
-                others = frame.drop(columns="prompt").to_dict("records")
-                yield run(predict, frame["prompt"], others)
+        def generate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            return results(batches)
 
-        return generate_with_params.asNondeterministic()
+    else:
 
-    @F.pandas_udf(GENERATION)
-    def generate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        predict = loader()
-        for prompts in batches:
-            yield run(predict, prompts, None)
+        def generate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            return results(batches)
 
-    return generate.asNondeterministic()
+    return F.pandas_udf(generate, GENERATION).asNondeterministic()
 
 
 def generate(
@@ -110,20 +130,29 @@ def generate(
     params: dict[str, Column] | None = None,
     clean: Callable[[Column], Column] | None = None,
     n_partitions: int | None = None,
+    without_prompt: bool = False,
+    stop: Sequence[str] | Column | None = None,
 ) -> DataFrame:
     """Prompt expression, model, cleaning expression: adds ``out``, ``status`` and ``error``.
 
+    ``without_prompt`` removes a prompt the model gave back in front of its answer; the answer
+    ends before the first of the ``stop`` sequences (a list, or an array column); ``clean`` comes last.
     To call a model for some rows only, filter first: a UDF inside ``when`` runs on every row.
     """
     source = F.col(prompt) if isinstance(prompt, str) else prompt
     if n_partitions is not None:
         df = df.repartition(max(1, n_partitions))
     model = generation_udf(loader, batch_size, with_params=params is not None)
+    call = source
     if params is not None:
-        source = F.struct(source.alias("prompt"), *[c.alias(name) for name, c in params.items()])
+        call = F.struct(source.alias("prompt"), *[c.alias(name) for name, c in params.items()])
     text = F.col("_g.text")
+    if without_prompt:
+        text = drop_prompt(text, source)
+    if stop is not None:
+        text = cut_at_stop(text, stop)
     return (
-        df.withColumn("_g", model(source))
+        df.withColumn("_g", model(call))
         .withColumns(
             {
                 out: text if clean is None else clean(text),
@@ -256,13 +285,19 @@ def best_batch_size(sweep: DataFrame) -> DataFrame:
 
 
 def register_model(
-    spark: SparkSession, name: str, loader: Loader, batch_size: int = BATCH_SIZE, with_params: bool = False
+    spark: SparkSession,
+    name: str,
+    loader: Loader,
+    batch_size: int = BATCH_SIZE,
+    with_params: bool = False,
+    text_only: bool = True,
 ) -> None:
-    """Make a model callable from SQL: ``SELECT name(prompt).text``.
+    """Make a model callable from SQL: ``SELECT name(prompt)``.
 
-    With ``with_params`` the argument is ``named_struct('prompt', …, 'temperature', …)``.
+    With ``with_params`` the argument is ``named_struct('prompt', …, 'temperature', …)``; without
+    ``text_only`` the result is a struct that also tells the status.
     """
-    spark.udf.register(name, generation_udf(loader, batch_size, with_params))
+    spark.udf.register(name, generation_udf(loader, batch_size, with_params, text_only))
 
 
 def model_class(cls: type, *args) -> Loader:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LIST = 100_000
+# Lists up to this length become constants of the plan.
+MAX_LIST = 1_000
 
 
 def combinations(items: DataFrame, styles: Sequence[str], colours: Sequence[str]) -> DataFrame:

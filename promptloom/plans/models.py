@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import prompts, responses, tokens
+from ..functions.text import strip
 from ..models import standins
 from ..operators import generate as g
 from ..operators import partitions, stats
@@ -17,12 +18,21 @@ def sql_model_call(spark, sf):
     g.register_model(spark, "stand_in_generate", standins.answer_generator, with_params=True)
     docs = texts(spark, sf, "documents").select("doc_id", "text")
     return spark.sql(
-        """SELECT doc_id, stand_in_generate(named_struct('prompt', text, 'temperature', CAST(0.1 AS DOUBLE))).text AS answer
+        """SELECT doc_id, stand_in_generate(named_struct('prompt', text, 'temperature', CAST(0.1 AS DOUBLE))) AS answer
            FROM {docs}""",
         docs=docs,
     )
 
 
+@query("N13 F12 F16 F17", "SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z]+'))::VARCHAR || ' words' AS answer FROM documents")
+def generation_controls(spark, sf):
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
+    out = g.generate(
+        docs, "text", "answer", standins.echo_generator, clean=strip, without_prompt=True, stop=["STOP", ","]
+    )
+    return out.select("doc_id", "answer")
+
+
 class Shouter:
     """A model class: loaded once, predicts on frames with prompt and parameters."""
 

@@ -46,10 +46,11 @@ def run_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Compute once, count, and mark for broadcast only when there are at most ``max_rows`` rows."""
+def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
+    """Compute once, measure, and mark for broadcast only when the rows fit ``max_bytes`` as JSON."""
     df = materialize(df)
-    return F.broadcast(df) if df.count() <= max_rows else df
+    size = df.agg(F.sum(F.length(F.to_json(F.struct("*"))) + 16)).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -101,7 +101,27 @@ def test_parameters_are_per_row(spark):
 
 def test_sql_function(spark):
     g.register_model(spark, "shout", upper)
-    assert spark.sql("SELECT shout('a').text AS t").first()["t"] == "A"
+    assert spark.sql("SELECT shout('a') AS t").first()["t"] == "A"
+    g.register_model(spark, "shout_status", upper, text_only=False)
+    assert spark.sql("SELECT shout_status(CAST(NULL AS string)).status AS t").first()["t"] == "null prompt"
+
+    def loader():
+        return lambda prompts, params: [p * q["n"] for p, q in zip(prompts, params)]
+
+    g.register_model(spark, "repeated", loader, with_params=True, text_only=False)
+    assert spark.sql("SELECT repeated(named_struct('prompt', 'ab', 'n', 2)).text AS t").first()["t"] == "abab"
+    udf = g.generation_udf(upper, text_only=True)
+    frame = spark.createDataFrame([("x",), (None,)], "p string").coalesce(1)
+    assert [r["t"] for r in frame.select(udf("p").alias("t")).collect()] == ["X", None]
+
+
+def test_prompt_and_stop_words_are_cut(spark):
+    def loader():
+        return lambda prompts: [f"{p} answer\nUser: more" for p in prompts]
+
+    frame = spark.createDataFrame([("q", ["User:"]), ("r", [])], "p string, s array<string>").coalesce(1)
+    out = g.generate(frame, "p", "a", loader, without_prompt=True, stop=F.col("s"))
+    assert [r["a"] for r in out.collect()] == [" answer\n", " answer\nUser: more"]
 
 
 def test_generation_runs_once_when_filtered(spark):

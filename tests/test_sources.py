@@ -41,6 +41,18 @@ def test_own_folder_where_none_is_set(spark):
     assert session.run_path(spark, "x").startswith(own)
 
 
+def test_broadcasts_are_measured(spark):
+    wide = spark.range(10).selectExpr("id", "repeat('x', 1000) t")
+    small = session.broadcast_if_small(wide)
+    large = session.broadcast_if_small(wide, max_bytes=5000)
+
+    def hinted(df):
+        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+
+    assert hinted(small) and not hinted(large)
+    assert session.broadcast_if_small(wide.where("false")).count() == 0
+
+
 def test_materialized_frames_are_tables_of_their_own(spark):
     frame = spark.range(5).selectExpr("id", "array(id) a", "named_struct('x', id) s", "CAST(NULL AS string) n")
     kept = session.materialize(frame)
