@@ -26,9 +26,9 @@ def pieces(c: Column | str) -> Column:
 
 
 def n_tokens(c: Column | str, cap: int | None = MAX_TOKENS) -> Column:
-    """Token count; ``cap`` is the tokenizer's truncation length (None counts everything)."""
+    """Token count, null for a null text; ``cap`` is the truncation length (None counts everything)."""
     found = tokens(c)
-    return F.size(found if cap is None else F.slice(found, 1, cap))
+    return F.array_size(found if cap is None else F.slice(found, 1, cap))
 
 
 def token_ids(token_array: Column, vocabulary: int = VOCABULARY) -> Column:
