@@ -19,9 +19,9 @@ from .common import text_or_empty
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = range(4)
 #: Words that a worker remembers, and pairs of tokens; older ones make room.
-WORDS_KEPT, PAIRS_KEPT = 200_000, 500_000
-#: Words with the spaces before them; white space that no piece crosses stands alone.
-WORD = re.compile(r" *[^ \n]+| +|\n")
+WORDS_KEPT, PAIRS_KEPT = 500_000, 500_000
+#: Words of a line with the spaces before them.
+WORD = re.compile(r" *[^ ]+| +")
 
 
 class Memory(dict):
@@ -68,8 +68,12 @@ class Pieces:
             self.automaton.add_word(c, c)
         if len(self.automaton):
             self.automaton.make_automaton()
+        # The next shorter match where a piece matches: its longest proper prefix that is a piece.
+        starts = [p for p in self.automaton]
+        self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.automaton), None) for p in starts}
         self.pairs = Memory(self._fit, PAIRS_KEPT)
         self.words = Memory(self._encoded_word, WORDS_KEPT)
+        self.spaced = Memory(lambda word: self._encoded_word(" " + word), WORDS_KEPT)
         self.shown = Memory(self._decoded_word, WORDS_KEPT)
 
     def merge(self, text: str) -> list[str]:
@@ -115,23 +119,19 @@ class Pieces:
         out = [piece for _, piece in self.automaton.iter_long(text)]
         if all(fits[pair] for pair in zip(out, out[1:])):
             return out
-        starting: list[list[str]] = [[] for _ in text]
-        for end, piece in self.automaton.iter(text):
-            starting[end + 1 - len(piece)].append(piece)
-        out, failed, at, n = [], 0, 0, len(text)
-        tries = [0] * n  # how many of the matches at a position, longest first, were tried
+        k = next(k for k, pair in enumerate(zip(out, out[1:])) if not fits[pair])
+        piece, out = self.shorter.get(out[k + 1]), out[: k + 1]
+        at, n, failed = sum(map(len, out)), len(text), 0
         while at < n:
-            here = starting[at]
-            for k in range(tries[at], len(here)):
-                piece = here[-1 - k]
-                if not failed >> (at + len(piece)) & 1 and (not out or fits[out[-1], piece]):
-                    tries[at] = k + 1
-                    out.append(piece)
-                    at += len(piece)
-                    break
+            while piece and (failed >> (at + len(piece)) & 1 or (out and not fits[out[-1], piece])):
+                piece = self.shorter.get(piece)
+            if piece:
+                out.append(piece)
+                at += len(piece)
+                piece = next(self.automaton.iter_long(text, at))[1] if at < n else None
             else:
                 failed |= 1 << at
-                tries[at] = 0
+                piece = self.shorter.get(out[-1])
                 at -= len(out.pop())
         return out
 
@@ -168,8 +168,18 @@ class Pieces:
         """The ids of each word, as decimals with a space after each."""
         if not text:
             return []
-        words = self.words
-        return [words[w] for w in WORD.findall(" " + text.replace(SPACE, " "))]
+        words, spaced, out = self.words, self.spaced, []
+        for k, line in enumerate((" " + text.replace(SPACE, " ")).split("\n")):
+            if k:
+                out.append(words["\n"])
+            if "  " in line or line.endswith(" "):
+                out += [words[w] for w in WORD.findall(line)]
+            elif line:
+                first, *rest = line.split(" ")
+                if first:
+                    out.append(words[first])
+                out += map(spaced.__getitem__, rest)
+        return out
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for i in b"".join(self.encode_words(text)).split()]

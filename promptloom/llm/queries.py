@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pieces, quality, shards, simhash, warc
+from . import decontaminate, langid, pieces, quality, repeats, shards, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +70,25 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of nearly equal bytes, equal texts together."""
     return shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by compression, dictionaries learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    content = langid.dictionaries(docs)
+    found = langid.identify_languages(docs, content)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
+@register()
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of any 200-byte string that starts in two places."""
+    return repeats.deduplicate_bytes(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, as they are or with other numbers, names and units."""
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "coverage", "n_changed")
