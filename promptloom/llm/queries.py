@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, pieces, quality, repeats, shards, simhash, warc
+from . import ann, decontaminate, langid, pieces, quality, repeats, shards, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,9 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark items, as they are or with other numbers, names and units."""
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "coverage", "n_changed")
+
+
+@register()
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest rows by cosine for every vector whose id is divisible by 50."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
