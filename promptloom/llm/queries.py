@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, langid, pieces, quality, repeats, shards, simhash, warc
+from . import ann, decontaminate, langid, licenses, pieces, quality, repeats, shards, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +98,9 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest rows by cosine for every vector whose id is divisible by 50."""
     return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@register()
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
