@@ -47,15 +47,11 @@ def last_role(messages: Column | str) -> Column:
     return F.try_element_at(col(messages), F.lit(-1))["role"]
 
 
-def wrong_roles(messages: Column | str, first_position: Column | int = 0) -> Column:
-    """How many messages break the user/assistant alternation.
-
-    ``first_position`` is the place of the array's first message in the whole chat.
-    """
-    offset = F.lit(first_position) if isinstance(first_position, int) else first_position
+def wrong_roles(messages: Column | str) -> Column:
+    """How many messages break the user/assistant alternation."""
 
     def expected(i: Column) -> Column:
-        return F.when(F.pmod(i + offset, F.lit(2)) == 0, "user").otherwise("assistant")
+        return F.when(F.pmod(i, F.lit(2)) == 0, "user").otherwise("assistant")
 
     return F.size(F.filter(col(messages), lambda m, i: ~m["role"].eqNullSafe(expected(i))))
 
@@ -87,20 +83,13 @@ def render_turns(messages: Column | str) -> Column:
     )
 
 
-def chat_prompt(
-    messages: Column | str, default_system: str = t.CHAT_SYSTEM_PROMPT, opening: Column | None = None
-) -> Column:
-    """Multi-turn prompt.
-
-    ``opening`` is false for the later parts of a chat too long for one row: those carry on
-    without the system block, so the parts of a chat concatenate to its prompt.
-    """
+def chat_prompt(messages: Column | str, default_system: str = t.CHAT_SYSTEM_PROMPT) -> Column:
+    """Multi-turn prompt."""
     m = col(messages)
     system = F.when(starts_with_system(m), F.get(m, F.lit(0))["content"]).otherwise(F.lit(default_system))
-    whole = F.concat(
+    return F.concat(
         F.lit(t.SEQUENCE_START + t.SYSTEM_START), system, F.lit(t.SYSTEM_END), render_turns(without_system(m))
     )
-    return whole if opening is None else F.when(opening, whole).otherwise(render_turns(m))
 
 
 def speaker(position: Column) -> Column:
@@ -115,9 +104,8 @@ def moderation_prompt(
 ) -> Column:
     """Prompt that judges the last speaker of a chat; speakers alternate by position.
 
-    For a chat cut into parts, ``n_messages`` is the length of the whole chat and
-    ``first_position`` where this part starts; head and tail then appear on the outer parts only.
-    A plain string ``taxonomy`` is the text itself.
+    For a part of a chat, ``n_messages`` is the length of the whole chat and ``first_position`` where
+    the part starts. A plain string ``taxonomy`` is the text itself.
     """
     m = col(messages)
     start = F.lit(0) if first_position is None else first_position
@@ -130,14 +118,7 @@ def moderation_prompt(
         ),
     )
     head = render(t.MODERATION_HEAD, role=judged, taxonomy=taxonomy)
-    tail = render(t.MODERATION_TAIL, role=judged)
-    if first_position is None:
-        return F.concat(head, body, tail)
-    return F.concat(
-        F.when(start == 0, head).otherwise(""),
-        body,
-        F.when(start + F.size(m) >= total, tail).otherwise(""),
-    )
+    return F.concat(head, body, render(t.MODERATION_TAIL, role=judged))
 
 
 def moderation_prompt_whole_chat(

@@ -48,19 +48,25 @@ def taxonomy_entries(taxonomy: Column | str, variant: str = "block") -> Column:
     return F.zip_with(codes, bodies, lambda c, d: F.struct(c.alias("code"), d.alias("description")))
 
 
-def category(code: Column | str, taxonomy: Column, variant: str = "block") -> Column:
-    """Description for a code; a fixed text for codes outside the taxonomy (later entries win).
-
-    A constant taxonomy folds to a constant array, so no join is needed.
-    """
-    hits = F.filter(taxonomy_entries(taxonomy, variant), lambda e: e["code"] == col(code))
+def description(code: Column | str, entries: Column) -> Column:
+    """Description for a code among parsed entries; a fixed text for codes outside them (later entries win)."""
+    hits = F.filter(entries, lambda e: e["code"] == col(code))
     return F.coalesce(F.try_element_at(hits, F.lit(-1))["description"], F.lit(t.UNKNOWN_CATEGORY))
 
 
+def descriptions(codes: Column | str, entries: Column) -> Column:
+    """One description per code of a comma-separated list."""
+    return F.transform(F.transform(F.split(col(codes), ",", -1), strip), lambda c: description(c, entries))
+
+
+def category(code: Column | str, taxonomy: Column, variant: str = "block") -> Column:
+    """Description for a code. A constant taxonomy folds to a constant array, so no join is needed."""
+    return description(code, taxonomy_entries(taxonomy, variant))
+
+
 def categories(code: Column | str, taxonomy: Column, variant: str = "block") -> Column:
     """One description per code of a comma-separated list."""
-    codes = F.transform(F.split(col(code), ",", -1), strip)
-    return F.transform(codes, lambda c: category(c, taxonomy, variant))
+    return descriptions(code, taxonomy_entries(taxonomy, variant))
 
 
 def prompt_violation(category_text: Column | str, wording: str = "sentence") -> Column:

@@ -15,7 +15,10 @@ You are a helpful, respectful and honest assistant. Always answer as helpfully a
 If a question does not make any sense, or is not factually coherent, explain why instead of answering something not correct. If you don't know the answer to a question, please don't share false information."""
 
 # The multi-turn form of the same text has one blank more on either side of its paragraph break.
-CHAT_SYSTEM_PROMPT = DEFAULT_SYSTEM_PROMPT.replace("\n\n", " \n\n ")
+CHAT_SYSTEM_PROMPT = """\
+You are a helpful, respectful and honest assistant. Always answer as helpfully as possible, while being safe. Your answers should not include any harmful, unethical, racist, sexist, toxic, dangerous, or illegal content. Please ensure that your responses are socially unbiased and positive in nature.\x20
+
+ If a question does not make any sense, or is not factually coherent, explain why instead of answering something not correct. If you don't know the answer to a question, please don't share false information."""
 
 CONCISE_SYSTEM_PROMPT = """\
 You are a direct and honest assistant. Please provide concise and factual answers and just the answers.

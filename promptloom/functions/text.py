@@ -128,7 +128,7 @@ def drop_prompt_tokens(output_ids: Column | str, prompt_ids: Column | str) -> Co
 
 
 def finish_reason(n_generated: Column | str, max_tokens: Column | str) -> Column:
-    return F.when(col(n_generated) == col(max_tokens), F.lit("length")).otherwise(F.lit("stop"))
+    return F.when(col(n_generated) >= col(max_tokens), F.lit("length")).otherwise(F.lit("stop"))
 
 
 def stamped(response: Column | str, name: str, now: Column | None = None) -> Column:

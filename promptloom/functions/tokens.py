@@ -25,12 +25,18 @@ def pieces(c: Column | str) -> Column:
     return F.regexp_extract_all(col(c), F.lit(PIECE), F.lit(0))
 
 
-def n_tokens(c: Column | str, cap: int | None = MAX_TOKENS) -> Column:
+def n_tokens(c: Column | str, cap: int | None = None) -> Column:
     """Token count, null for a null text; ``cap`` is the truncation length (None counts everything)."""
     found = tokens(c)
     return F.array_size(found if cap is None else F.slice(found, 1, cap))
 
 
+def cut(c: Column | str, n: Column | int) -> Column:
+    """The text up to its ``n``-th token, white space between tokens kept."""
+    limit = F.lit(n) if isinstance(n, int) else n
+    return F.array_join(F.slice(pieces(c), F.lit(1), limit), "")
+
+
 def token_ids(token_array: Column, vocabulary: int = VOCABULARY) -> Column:
     """Stable ids by hashing each token into a vocabulary of the given size."""
     return F.transform(

@@ -7,31 +7,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
 
-# Repeated fingerprints that may travel to all tasks: 8 bytes each.
-BROADCAST_FINGERPRINTS = 2_000_000
+def drop_duplicate_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows, nulls equal, in one pass over ``df``.
 
-
-def drop_duplicate_rows(df: DataFrame, long_rows: bool = False) -> DataFrame:
-    """Distinct rows, nulls equal. Copies are combined map-side, so a hot row does not skew the shuffle.
-
-    For ``long_rows`` (texts) only 8-byte fingerprints of all rows are shuffled. A row whose
-    fingerprint occurs once is unique and stays where it is; just the rows with a repeated
-    fingerprint are shuffled and compared in full, so colliding fingerprints cannot lose a row.
-    With too many repeated fingerprints to broadcast, all rows are compared in full.
+    One pass, so that a frame that answers differently each time (sampled generations) can't lose or keep
+    rows by mistake. Copies are combined before the shuffle, so a hot row does not skew it.
     """
-    if not long_rows:
-        return df.dropDuplicates()
-    mark = F.xxhash64(*df.columns)
-    seen = df.select(mark.alias("_mark")).groupBy("_mark").agg(F.count(F.lit(1)).alias("_n"))
-    repeated = materialize(seen.where(F.col("_n") > 1).select("_mark"), "repeated")
-    if repeated.count() > BROADCAST_FINGERPRINTS:
-        return df.dropDuplicates()
-    marked = df.withColumn("_mark", mark)
-    unique = marked.join(F.broadcast(repeated), "_mark", "left_anti").drop("_mark")
-    copies = marked.join(F.broadcast(repeated), "_mark", "left_semi").drop("_mark")
-    return unique.union(copies.dropDuplicates())
+    return df.dropDuplicates()
 
 
 def unique_values(df: DataFrame, column: str | Column) -> DataFrame:
@@ -51,4 +34,4 @@ def stack_sources(*frames: DataFrame) -> DataFrame:
 def instruction_dataset(*sources: DataFrame, end_mark: str) -> DataFrame:
     """Merge ``(prompt, response)`` sources, drop duplicate pairs, close every response."""
     pairs = stack_sources(*[s.select("prompt", "response") for s in sources])
-    return drop_duplicate_rows(pairs, long_rows=True).withColumn("response", F.concat("response", F.lit(end_mark)))
+    return drop_duplicate_rows(pairs).withColumn("response", F.concat("response", F.lit(end_mark)))

@@ -10,12 +10,15 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import cut_at_stop, drop_prompt
 from ..schemas import GENERATION
+from .sample import sample_rows
 
 Loader = Callable[[], Callable[..., Sequence]]
 
@@ -75,13 +78,7 @@ def generation_udf(
     """
 
     def run(predict: Callable, prompts: pd.Series, params: list | None) -> pd.DataFrame:
-        known = [i for i, p in enumerate(prompts) if p is not None]
-        rows: list[tuple] = [(None, "null prompt", None)] * len(prompts)
-        for start in range(0, len(known), batch_size):
-            batch = known[start : start + batch_size]
-            chosen = None if params is None else [params[i] for i in batch]
-            for i, result in zip(batch, call_with_retry(predict, [prompts.iloc[i] for i in batch], chosen)):
-                rows[i] = result
+        rows = _answers(predict, prompts.tolist(), params, batch_size)
         return pd.DataFrame(rows, columns=["text", "status", "error"])
 
     def split_params(batch) -> tuple[pd.Series, list | None]:
@@ -132,9 +129,13 @@ def generate(
     n_partitions: int | None = None,
     without_prompt: bool = False,
     stop: Sequence[str] | Column | None = None,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Prompt expression, model, cleaning expression: adds ``out``, ``status`` and ``error``.
 
+    ``n_partitions`` deals the rows out anew, for instance to one partition per GPU. ``profile`` asks for
+    executors with given resources: the model then runs as a stage of its own over whole rows.
+
     ``without_prompt`` removes a prompt the model gave back in front of its answer; the answer
     ends before the first of the ``stop`` sequences (a list, or an array column); ``clean`` comes last.
     To call a model for some rows only, filter first: a UDF inside ``when`` runs on every row.
@@ -142,26 +143,61 @@ def generate(
     source = F.col(prompt) if isinstance(prompt, str) else prompt
     if n_partitions is not None:
         df = df.repartition(max(1, n_partitions))
-    model = generation_udf(loader, batch_size, with_params=params is not None)
     call = source
     if params is not None:
         call = F.struct(source.alias("prompt"), *[c.alias(name) for name, c in params.items()])
+    if profile is None:
+        model = generation_udf(loader, batch_size, with_params=params is not None)
+        done = df.withColumn("_g", model(call))
+    else:
+        done = _with_profile(df, call, loader, batch_size, params is not None, profile)
     text = F.col("_g.text")
     if without_prompt:
         text = drop_prompt(text, source)
     if stop is not None:
         text = cut_at_stop(text, stop)
-    return (
-        df.withColumn("_g", model(call))
-        .withColumns(
-            {
-                out: text if clean is None else clean(text),
-                "status": F.col("_g.status"),
-                "error": F.col("_g.error"),
-            }
-        )
-        .drop("_g")
-    )
+    return done.withColumns(
+        {
+            out: text if clean is None else clean(text),
+            "status": F.col("_g.status"),
+            "error": F.col("_g.error"),
+        }
+    ).drop("_g")
+
+
+def _with_profile(
+    df: DataFrame, call: Column, loader: Loader, batch_size: int, with_params: bool, profile: ResourceProfile
+) -> DataFrame:
+    """Rows with the model's answer in ``_g``, from a stage that runs under a resource profile.
+
+    A UDF can't ask for resources, a map over batches can; rows pass through it as they are.
+    """
+    packed = df.select(F.struct("*").alias("row"), call.alias("call"))
+    schema = T.StructType([packed.schema["row"], T.StructField("_g", GENERATION)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predict = loader()
+        for batch in batches:
+            calls = batch.column(1).to_pylist()
+            prompts = [c["prompt"] for c in calls] if with_params else calls
+            settings = [{k: v for k, v in c.items() if k != "prompt"} for c in calls] if with_params else None
+            rows = _answers(predict, prompts, settings, batch_size)
+            answers = pa.StructArray.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], names=["text", "status", "error"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), answers], names=["row", "_g"])
+
+    return packed.mapInArrow(run, schema, profile=profile).select("row.*", "_g")
+
+
+def _answers(predict: Callable, prompts: Sequence, params: list | None, batch_size: int) -> list[tuple]:
+    """``(text, status, error)`` per prompt, in batches. Null prompts skip the model."""
+    known = [i for i, p in enumerate(prompts) if p is not None]
+    rows: list[tuple] = [(None, "null prompt", None)] * len(prompts)
+    for start in range(0, len(known), batch_size):
+        batch = known[start : start + batch_size]
+        chosen = None if params is None else [params[i] for i in batch]
+        for i, result in zip(batch, call_with_retry(predict, [prompts[i] for i in batch], chosen)):
+            rows[i] = result
+    return rows
 
 
 def generate_candidates(
@@ -176,7 +212,7 @@ def generate_candidates(
     """Several answers per prompt as an array, ``n_candidates`` of them row by row.
 
     The model is called with parameters and sees the number of the candidate as ``candidate``.
-    An answer that could not be generated is a null element.
+    An answer that could not be generated is a null element; a null prompt or count gives an empty array.
     """
     source = F.col(prompt) if isinstance(prompt, str) else prompt
     others = {"n_candidates": n_candidates, **(params or {})}
@@ -189,8 +225,9 @@ def generate_candidates(
             texts: list[list] = [[] for _ in range(len(frame))]
             work = []
             for i, request in enumerate(frame.to_dict("records")):
-                text, n = request.pop("prompt"), int(request.pop("n_candidates"))
-                if text is not None:
+                text, n = request.pop("prompt"), request.pop("n_candidates")
+                if text is not None and n is not None and n == n:  # null counts arrive as NaN
+                    n = int(n)
                     work += [(i, text, {**request, "candidate": j}) for j in range(n)]
             for start in range(0, len(work), batch_size):
                 rows, prompts, settings = zip(*work[start : start + batch_size])
@@ -202,54 +239,82 @@ def generate_candidates(
 
 
 def generate_timed(
-    df: DataFrame, prompt: str, out: str, loader: Loader, batch_size: int = BATCH_SIZE
+    df: DataFrame, prompt: str, out: str, loader: Loader, batch_size: int = BATCH_SIZE, clock: Callable[[], float] = time.perf_counter
 ) -> DataFrame:
-    """Adds the generation and its share of the batch's wall time in ``seconds``."""
-    # `df.schema` decides the output columns; the model sees the prompt column only.
+    """Adds the generation and its share of the batch's wall time in ``seconds``.
+
+    The model sees the prompt only; the other columns pass through as they are. Null prompts skip the model
+    and take no time.
+    """
+    packed = df.select(F.struct("*").alias("row"), F.col(prompt).alias("prompt"))
     schema = T.StructType(
-        df.schema.fields + [T.StructField(out, T.StringType()), T.StructField("seconds", T.DoubleType())]
+        [packed.schema["row"], T.StructField("out", T.StringType()), T.StructField("seconds", T.DoubleType())]
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = loader()
-        for frame in batches:
-            for start in range(0, len(frame), batch_size):
-                part = frame.iloc[start : start + batch_size].copy()
-                began = time.perf_counter()
-                results = call_with_retry(predict, part[prompt].tolist(), None)
-                took = time.perf_counter() - began
-                part[out] = [r[0] for r in results]
-                part["seconds"] = took / len(part)
-                yield part
+        for batch in batches:
+            prompts = batch.column(1).to_pylist()
+            texts: list = [None] * len(prompts)
+            seconds = [0.0] * len(prompts)
+            known = [i for i, p in enumerate(prompts) if p is not None]
+            for start in range(0, len(known), batch_size):
+                part = known[start : start + batch_size]
+                began = clock()
+                results = call_with_retry(predict, [prompts[i] for i in part], None)
+                took = clock() - began
+                for i, result in zip(part, results):
+                    texts[i], seconds[i] = result[0], took / len(part)
+            columns = [batch.column(0), pa.array(texts, pa.string()), pa.array(seconds, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "out", "seconds"])
 
-    return df.mapInPandas(run, schema)
+    return packed.mapInArrow(run, schema).select("row.*", F.col("out").alias(out), "seconds")
+
+
+# Sizes to try, from single prompts to about twice the chosen batch size.
+SWEEP_SIZES = (1, 2, 4, 8, 12, 16, 24, 32)
 
 
 def batch_size_sweep(
-    df: DataFrame, prompt: str, loader: Loader, sizes: Sequence[int] = (1, 2, 3, 4, 5, 7, 10, 12, 15, 17, 20, 25, 30)
+    df: DataFrame,
+    prompt: str,
+    loader: Loader,
+    sizes: Sequence[int] = SWEEP_SIZES,
+    sample: int | None = None,
+    key: str | None = None,
+    clock: Callable[[], float] = time.perf_counter,
 ) -> DataFrame:
     """Per batch size: rows, elapsed seconds, seconds per row, success.
 
     All sizes run side by side: every prompt goes to every size, each task times its own batches,
-    and times add up. Sizes behind the first failing one are left out.
+    and times add up. A task stops calling the model with a size once that has failed there, and sizes
+    behind the first failing one are left out. ``sample`` takes that many rows by ``key`` instead of all.
+    Null prompts are left out.
     """
     ordered = sorted(set(sizes))
-    work = df.select(F.col(prompt).alias("prompt"), F.explode(F.lit(ordered)).alias("batch_size"))
+    if sample is not None:
+        df = sample_rows(df, key or prompt, sample)
+    work = df.where(F.col(prompt).isNotNull()).select(F.col(prompt).alias("prompt"), F.explode(F.lit(ordered)).alias("batch_size"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = loader()
         waiting: dict[int, list[str]] = {}
+        failed = max(ordered, default=0) + 1  # the smallest size that has failed in this task
 
         def timed(size: int, prompts: list[str]) -> pd.DataFrame:
-            began = time.perf_counter()
-            try:
-                predict(prompts)
-                success = True
-            except Exception as error:  # noqa: BLE001
-                if not is_out_of_memory(error):
-                    raise
-                success = False
-            took = time.perf_counter() - began
+            nonlocal failed
+            began = clock()
+            success = size < failed
+            if success:
+                try:
+                    predict(prompts)
+                except Exception as error:  # noqa: BLE001
+                    if not is_out_of_memory(error):
+                        raise
+                    success = False
+                    if len(prompts) == size:
+                        failed = size
+            took = clock() - began
             return pd.DataFrame(
                 {"batch_size": [size], "n": [len(prompts)], "seconds": [took], "success": [success]}
             )
@@ -266,6 +331,11 @@ def batch_size_sweep(
                 yield timed(size, queue)
 
     timings = work.mapInPandas(run, "batch_size int, n long, seconds double, success boolean")
+    return summarise_sweep(timings)
+
+
+def summarise_sweep(timings: DataFrame) -> DataFrame:
+    """One row per batch size from ``batch_size, n, seconds, success`` of its batches."""
     table = timings.groupBy("batch_size").agg(
         F.sum("n").alias("n_rows"),
         F.round(F.sum("seconds"), 4).alias("elapsed_time"),

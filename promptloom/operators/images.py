@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,3 +33,22 @@ def image_metadata(prompts: DataFrame, suffix: str = ".png") -> DataFrame:
 def with_captions(images: DataFrame, captions: DataFrame) -> DataFrame:
     """Images and their captions by file name; Spark broadcasts the captions when they are small."""
     return images.join(captions, "file_name")
+
+
+def one_colour(df: DataFrame, colour: str, name: str) -> DataFrame:
+    """Adds a PNG of one pixel in the colour given as a 24-bit number."""
+
+    @F.pandas_udf("binary")
+    def encoded(colours: pd.Series) -> pd.Series:
+        return colours.map(_png)
+
+    return df.withColumn(name, encoded(colour))
+
+
+def _png(colour: int) -> bytes:
+    def chunk(kind: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+
+    header = struct.pack(">IIBBBBB", 1, 1, 8, 2, 0, 0, 0)
+    row = b"\0" + int(colour).to_bytes(3, "big")
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(row)) + chunk(b"IEND", b"")

@@ -1,64 +1,43 @@
-"""Every combination of an item with two short lists."""
+"""Every combination of an item with two lists."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Lists up to this length become constants of the plan.
-MAX_LIST = 1_000
-
 
 def combinations(items: DataFrame, styles: Sequence[str], colours: Sequence[str]) -> DataFrame:
-    """Items times styles times colours.
+    """Items times styles times colours, for lists that are arguments, of any length.
 
-    The two lists are arguments, so the product is two explodes of constant arrays: no join, no
-    shuffle, and the items stay spread as they are.
+    The product is two explodes of constant arrays: no join, no shuffle, and the items stay spread
+    as they are. For the values of a table, ``combinations_with``.
     """
-    for name, values in (("styles", styles), ("colours", colours)):
-        if len(values) > MAX_LIST:
-            raise ValueError(f"{name} has {len(values)} values; use combinations_with for long lists")
     return items.select("*", F.explode(F.lit(list(styles))).alias("style")).select(
         "*", F.explode(F.lit(list(colours))).alias("colour")
     )
 
 
-def combinations_with(
-    items: DataFrame, values: DataFrame, column: str, rows_per_block: int = 10_000, rows_per_tile: int = 100_000
-) -> DataFrame:
-    """Items times the rows of a long one-column list.
+def combinations_with(items: DataFrame, values: DataFrame, column: str, rows_per_block: int = 10_000) -> DataFrame:
+    """Items times the rows of a one-column table of any length, repeated values included.
 
-    The list is packed into blocks of bounded size and the items into tiles; every pair of tile
-    and block meets in an equi-join, so no task holds the whole list or all the items.
+    The values are packed into blocks of about ``rows_per_block``; every item goes once to every block, and
+    the two meet in an equi-join on the block, of which adaptive execution can split the items' side.
     """
     blocks = max(1, -(-values.count() // rows_per_block))
-    tiles = max(1, -(-items.count() // rows_per_tile))
-
-    def number(n: int, *keys: str):
-        return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
-
-    def every(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
+    # Equal values are numbered, so that even one that fills the table goes to many blocks.
+    place = F.row_number().over(Window.partitionBy(column).orderBy(column))
+    numbered = values.select(column).withColumn("_n", F.floor((place - 1) / rows_per_block))
     packed = (
-        values.select(column, number(blocks, column).alias("_block"))
+        numbered.select(column, F.pmod(F.xxhash64(column) + F.col("_n"), F.lit(blocks)).cast("int").alias("_block"))
         .groupBy("_block")
-        .agg(F.collect_list(column).alias("_values"))
-        .withColumn("_tile", every(tiles))
+        .agg(F.array_sort(F.collect_list(F.struct(F.col(column).alias("v")))).alias("_values"))
     )
-    tagged = items.withColumn("_tile", number(tiles, *items.columns)).withColumn("_block", every(blocks))
+    tagged = items.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     return (
-        tagged.join(packed, ["_tile", "_block"])
-        .withColumn(column, F.explode("_values"))
-        .drop("_block", "_tile", "_values")
+        tagged.join(packed, "_block")
+        .withColumn("_v", F.explode("_values"))
+        .withColumn(column, F.col("_v.v"))
+        .drop("_block", "_values", "_v")
     )
-
-
-def short_list(df: DataFrame, column: str, limit: int = MAX_LIST) -> list[str]:
-    """The distinct values of a column as a driver list, refused when there are more than ``limit``."""
-    rows = df.select(column).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values")
-    return sorted(r[0] for r in rows)

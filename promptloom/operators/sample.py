@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _HEX = 64  # characters of a SHA-256 digest
 _STEP = 4  # prefix characters added per pass: 16^4 buckets
 _FINE = 100_000  # a bucket this small is listed hash by hash
@@ -29,6 +31,11 @@ def order_hash(key: str | list[str], seed: int | None = None) -> Column:
     return F.sha2(text, 256)
 
 
+def content_hash(df: DataFrame) -> Column:
+    """SHA-256 of a whole row as JSON: nulls, empty texts and separators inside values stay apart."""
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}), 256)
+
+
 @dataclass(frozen=True)
 class Cut:
     """Rows with a hash below ``value`` are in; of the ``ties`` at ``value``, ``wanted`` are."""
@@ -73,45 +80,54 @@ def find_cut(df: DataFrame, hash_col: Column, n: int | Callable[[int], int]) ->
     return Cut(prefix, left, size)
 
 
-def _halves(df: DataFrame, order: Column, n: int, key: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The first ``n`` rows in hash order, and the others."""
+def _halves(df: DataFrame, order: Column, n: int, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The first ``n`` rows in hash order, and the others. ``whole``: the hash covers whole rows."""
     if n <= 0:
         return df.where(F.lit(False)), df
     cut = find_cut(df, order, n)
-    return (df, df.where(F.lit(False))) if cut is None else _divide(df, order, cut, key)
+    return (df, df.where(F.lit(False))) if cut is None else _divide(df, order, cut, whole)
 
 
-def _divide(df: DataFrame, order: Column, cut: Cut, key: list[str]) -> tuple[DataFrame, DataFrame]:
+def _divide(df: DataFrame, order: Column, cut: Cut, whole: bool = False) -> tuple[DataFrame, DataFrame]:
     if cut.wanted == cut.ties:
         return df.where(order <= cut.value), df.where(order > cut.value)
     first, rest = df.where(order < cut.value), df.where(order > cut.value)
     tied = df.where(order == cut.value)
-    if sorted(key) != sorted(df.columns):
+    if not whole:
         # Rows that share a key: order them by their whole content.
-        tie_first, tie_rest = _halves(tied, order_hash(df.columns), cut.wanted, df.columns)
+        tie_first, tie_rest = _halves(tied, content_hash(df), cut.wanted, whole=True)
     else:
         tie_first, tie_rest = _copies(tied, cut.wanted), _copies(tied, cut.ties - cut.wanted)
     return first.unionByName(tie_first), rest.unionByName(tie_rest)
 
 
-def _copies(identical: DataFrame, n: int, block: int = 100_000) -> DataFrame:
+def _copies(identical: DataFrame, n: int, block: int = 100_000, max_tasks: int = 10_000) -> DataFrame:
     """``n`` copies of the row that ``identical`` repeats.
 
-    Copies are interchangeable, so one is kept and multiplied in two steps: a task makes at most
-    ``block`` of them however many there are.
+    Copies are interchangeable, so one is kept and multiplied in two steps: blocks of ``block`` copies are
+    dealt out to at most ``max_tasks`` tasks.
     """
     blocks = math.ceil(n / block)
     start = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block")
-    spread = identical.limit(1).select("*", start).repartition(max(1, min(blocks, 10_000)), "_block")
+    spread = identical.limit(1).select("*", start).repartition(max(1, min(blocks, max_tasks)), "_block")
     size = F.when(F.col("_block") == blocks - 1, F.lit(n - block * (blocks - 1))).otherwise(F.lit(block))
     copies = spread.select(*identical.columns, F.explode(F.sequence(F.lit(1), size)).alias("_copy"))
     return copies.drop("_copy")
 
 
-def sample_rows(df: DataFrame, key: str | list[str], n: int, seed: int | None = None) -> DataFrame:
-    """Exactly ``n`` rows (all when there are fewer): the first in order of the key's SHA-256."""
+def sample_rows(
+    df: DataFrame, key: str | list[str], n: int | Callable[[int], int], seed: int | None = None
+) -> DataFrame:
+    """Exactly ``n`` rows (all when there are fewer): the first in order of the key's SHA-256.
+
+    ``n`` may be a function of the row count, for a sample that grows with the table.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    return _halves(df, order_hash(keys, seed), n, keys)[0]
+    order = order_hash(keys, seed)
+    if isinstance(n, int) and n <= 0:
+        return df.where(F.lit(False))
+    cut = find_cut(df, order, n)
+    return df if cut is None else _divide(df, order, cut)[0]
 
 
 def train_test_split(
@@ -141,7 +157,7 @@ def train_test_split(
         return df.withColumn(split_col, F.lit("test"))
     if cut.wanted == cut.ties:
         return df.withColumn(split_col, F.when(order <= cut.value, "test").otherwise("train"))
-    test, train = _divide(df, order, cut, keys)
+    test, train = _divide(df, order, cut)
     return test.withColumn(split_col, F.lit("test")).unionByName(
         train.withColumn(split_col, F.lit("train"))
     )
@@ -175,22 +191,31 @@ def with_position(
     )
 
 
-def first_rows(df: DataFrame, key: str, n: int, salts: int = 1024) -> DataFrame:
-    """The first ``n`` rows by a unique order key (a named split's slice ``[:n]``).
+def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Exactly the first ``n`` rows by an order key (a named split's slice ``[:n]``).
 
-    Only keys travel: each of ``salts`` groups keeps its ``n`` lowest, their union gives the
-    n-th key, and the rows come from a filter that reaches the scan.
+    Keys alone are dealt out by range and counted per range; the n-th key is looked for in the one range
+    that holds it, and the rows come from a filter that reaches the scan. Rows that tie at the last key
+    are taken in order of their whole content. Null keys come last.
     """
     if n <= 0:
         return df.where(F.lit(False))
-    salt = F.pmod(F.xxhash64(key), F.lit(salts)).alias("_salt")
-    ranked = df.select(key, salt).withColumn(
-        "_r", F.row_number().over(Window.partitionBy("_salt").orderBy(key))
-    )
-    last = (
-        ranked.where(F.col("_r") <= n).select(key).orderBy(key).limit(n).agg(F.max(key), F.count(F.lit(1))).first()
-    )
-    return df if last[1] < n else df.where(F.col(key) <= F.lit(last[0]))
+    ranged = df.where(F.col(key).isNotNull()).select(F.col(key).alias("k")).repartitionByRange("k")
+    ranges = materialize(ranged.withColumn("p", F.spark_partition_id()), "ranges")
+    below = 0
+    for row in sorted(ranges.groupBy("p").count().collect()):
+        if below + row["count"] >= n:
+            break
+        below += row["count"]
+    else:
+        known = df.where(F.col(key).isNotNull())
+        return known.unionByName(_halves(df.where(F.col(key).isNull()), content_hash(df), n - below, whole=True)[0])
+    last = ranges.where(F.col("p") == row["p"]).orderBy("k").limit(n - below).agg(F.max("k")).first()[0]
+    before = df.where(F.col(key) < F.lit(last))
+    counted = ranges.agg(F.sum((F.col("k") < F.lit(last)).cast("int")), F.sum((F.col("k") == F.lit(last)).cast("int"))).first()
+    if counted[0] + counted[1] == n:
+        return df.where(F.col(key) <= F.lit(last))
+    return before.unionByName(_halves(df.where(F.col(key) == F.lit(last)), content_hash(df), n - counted[0], whole=True)[0])
 
 
 def spread(df: DataFrame, n: int) -> DataFrame:

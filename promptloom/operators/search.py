@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +22,8 @@ from ..session import broadcast_if_small, materialize
 BROADCAST_BYTES = 64 << 20
 # Scores held at once by one task: 32 MB of doubles.
 BLOCK_SCORES = 4_000_000
+# Rows and columns of one tile of a similarity matrix: 4 million scores, 32 MB.
+TILE_ROWS = 2_000
 # Queries scored at a time.
 QUERY_SLAB = 4096
 # Scores are compared after rounding: float32 embeddings carry no more digits, and equal rounded
@@ -202,6 +207,48 @@ def top_k(
     )
 
 
+def approximate_top_k(
+    queries: DataFrame,
+    store: DataFrame,
+    k: int = 5,
+    query_id: str = "query_id",
+    query_vector: str = "query_embedding",
+    item_id: str = "chunk_id",
+    item_vector: str = "embedding",
+    min_score: float = 0.5,
+    tables: int = 8,
+    bucket_length: float = 0.6,
+    digits: int = DIGITS,
+) -> DataFrame:
+    """``query_id, item_id, score, rank`` for two large sides, by random projections into buckets.
+
+    Both sides are shuffled by bucket once per table, and pairs that share a bucket are scored; so unlike
+    ``top_k`` the work doesn't grow with queries times store. Items under ``min_score`` are not looked for.
+    More tables find more; the recall against ``top_k`` is to be measured on one's own vectors.
+    Zero vectors take no part.
+    """
+
+    def side(df: DataFrame, name: str, vector: str) -> DataFrame:
+        known = df.where(F.col(vector).isNotNull() & F.exists(vector, lambda x: x != 0))
+        unit = vectors.normalize(F.col(vector).cast("array<double>"))
+        return known.select(F.col(name).alias("id"), array_to_vector(unit).alias("v"))
+
+    left, right = side(queries, query_id, query_vector), side(store, item_id, item_vector)
+    projections = BucketedRandomProjectionLSH(
+        inputCol="v", outputCol="buckets", numHashTables=tables, bucketLength=bucket_length, seed=11
+    )
+    # The distance of unit vectors whose cosine is `min_score`.
+    furthest = math.sqrt(2 - 2 * min_score)
+    pairs = projections.fit(right).approxSimilarityJoin(left, right, furthest, "distance")
+    scored = pairs.select(
+        F.col("datasetA.id").alias(query_id),
+        F.col("datasetB.id").alias(item_id),
+        F.round(1 - F.col("distance") * F.col("distance") / 2, digits).alias("score"),
+    )
+    best = Window.partitionBy(query_id).orderBy(F.desc("score"), item_id)
+    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
 def _broadcast_top_k(asked, items, k, digits, schema) -> DataFrame:
     table = asked.toArrow()
     names = table.column("_q").combine_chunks()
@@ -273,12 +320,13 @@ def similarity_matrix(
     column_vector: str,
     digits: int = DIGITS,
     broadcast_bytes: int = BROADCAST_BYTES,
-    tile_rows: int = 100_000,
+    tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """All cosine similarities: ``row_id, slab, column_ids, scores``.
 
     Scores stay arrays, one per row and slab of columns; pairs never become rows. Columns that fit
-    ``broadcast_bytes`` form one slab that travels to the tasks, more are met by (tile, slab).
+    ``broadcast_bytes`` form one slab that travels to the tasks. More are cut into slabs of about ``tile_rows``,
+    the rows into tiles as large, and each meeting of the two scores about ``tile_rows`` squared pairs.
     """
     left = rows.where(F.col(row_vector).isNotNull())
     left = left.select(F.col(row_id).alias("_i"), F.col(row_vector).alias("_v"))
@@ -327,7 +375,7 @@ def similarity_matrix(
 
         out = left.mapInArrow(scan, schema)
     else:
-        slabs = max(1, -(-size // max(1, broadcast_bytes)))
+        slabs = max(1, -(-right.count() // tile_rows))
         tiles = max(1, -(-left.count() // tile_rows))
         tagged, spread = _tiled(left, right, tiles, slabs)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import prompts, text
+from ..functions import prompts, text, tokens
 from ..functions import templates as t
 from ..models import standins
 from ..operators import sample, stats
@@ -80,13 +80,12 @@ def split_absolute(spark, sf):
 
 @query(
     "S4 S7 S8 A2",
-    """SELECT CASE WHEN lang = 'en' THEN 'train' ELSE 'test' END AS split, count(*) AS n_rows
-       FROM documents WHERE lang IN ('en', 'de') GROUP BY 1""",
+    """SELECT CASE WHEN lang IN ('en', 'fr') THEN 'train' ELSE 'test' END AS split, count(*) AS n_rows FROM documents GROUP BY 1""",
 )
 def existing_splits(spark, sf):
     docs = table(spark, sf, "documents")
     splits = readers.tagged(
-        {"train": docs.where("lang = 'en'"), "test": docs.where("lang = 'de'"), "extra": docs.where("lang = 'fr'")}
+        {"train": docs.where("lang in ('en', 'fr')"), "test": docs.where("lang not in ('en', 'fr')")}
     )
     train, test = readers.load_or_split(splits, "documents", "doc_id")
     return stats.rows_per_split(readers.tagged({"train": train, "test": test}))
@@ -111,9 +110,9 @@ def _inference_sql(rows: str) -> str:
     return f"""WITH d AS (SELECT doc_id, text AS article, {PROMPT_SQL} AS instruction FROM {rows}),
         g AS (SELECT *, {summary_sql('instruction')} AS cleaned_llm_summary FROM d),
         c AS (SELECT doc_id, cleaned_llm_summary, 'ok' AS status,
-                     {n_tokens_sql('article')}::INTEGER AS article_token_count,
-                     {n_tokens_sql('instruction')}::INTEGER AS instruction_token_count,
-                     {n_tokens_sql('cleaned_llm_summary')}::INTEGER AS generated_token_count FROM g)"""
+                     {n_tokens_sql('article', 2048)}::INTEGER AS article_token_count,
+                     {n_tokens_sql('instruction', 2048)}::INTEGER AS instruction_token_count,
+                     {n_tokens_sql('cleaned_llm_summary', 2048)}::INTEGER AS generated_token_count FROM g)"""
 
 
 def infer(rows):
@@ -131,16 +130,18 @@ def infer(rows):
             "instruction_token_count": "instruction",
             "generated_token_count": "cleaned_llm_summary",
         },
+        cap=tokens.MAX_TOKENS,  # what the job's model sees of a text
     )
 
 
 @query(
     "S1 T1 R1 N13 UD3 F1 F12 N1",
-    _inference_sql("(SELECT * FROM documents ORDER BY sha256(doc_id::VARCHAR) LIMIT 100)")
+    _inference_sql("(SELECT * FROM documents ORDER BY sha256(doc_id::VARCHAR) LIMIT (SELECT greatest(100, count(*) // 10) FROM documents))")
     + " SELECT * FROM c",
 )
 def batch_inference(spark, sf):
-    rows = sample.sample_rows(table(spark, sf, "documents"), "doc_id", 100)
+    """Over a tenth of the documents, 100 at least."""
+    rows = sample.sample_rows(table(spark, sf, "documents"), "doc_id", lambda n: max(100, n // 10))
     return infer(rows).drop("article", "instruction", "error")
 
 
@@ -155,10 +156,10 @@ def batch_stats(spark, sf):
     return stats.text_stats(infer(texts(spark, sf, "documents")), "doc_id", status="status")
 
 
-@query("N1", f"SELECT doc_id, {n_tokens_sql('text')}::INTEGER AS n_tokens, {n_tokens_sql('text', None)}::INTEGER AS n_all FROM documents")
+@query("N1", f"SELECT doc_id, {n_tokens_sql('text', 2048)}::INTEGER AS n_tokens, {n_tokens_sql('text', None)}::INTEGER AS n_all FROM documents")
 def token_counts(spark, sf):
     docs = texts(spark, sf, "documents")
-    counted = stats.token_columns(docs, {"n_tokens": "text"})
+    counted = stats.token_columns(docs, {"n_tokens": "text"}, cap=tokens.MAX_TOKENS)
     return stats.token_columns(counted, {"n_all": "text"}, cap=None).select("doc_id", "n_tokens", "n_all")
 
 

@@ -10,13 +10,14 @@ from ..operators import chats as ops
 from ..sources import readers
 from .registry import query, quoted, table
 
-# Turns with facts about their whole chat.
-TURNS_SQL = """turns AS (SELECT *,
-        max(CASE WHEN turn = 0 AND role = 'system' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS sys,
-        count(*) OVER (PARTITION BY conv_id) AS n FROM conversations),
-    facts AS (SELECT conv_id, max(sys) AS sys, max(n) AS n, arg_max(role, turn) AS last_role,
-        sum(CASE WHEN turn < sys THEN 0
-                 WHEN role = CASE WHEN (turn - sys) % 2 = 0 THEN 'user' ELSE 'assistant' END THEN 0
+# Turns with their place in the chat and facts about the whole chat.
+TURNS_SQL = """placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) - 1 AS place FROM conversations),
+    turns AS (SELECT *,
+        max(CASE WHEN place = 0 AND role = 'system' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS sys,
+        count(*) OVER (PARTITION BY conv_id) AS n FROM placed),
+    facts AS (SELECT conv_id, max(sys) AS sys, max(n) AS n, arg_max(role, place) AS last_role,
+        sum(CASE WHEN place < sys THEN 0
+                 WHEN role = CASE WHEN (place - sys) % 2 = 0 THEN 'user' ELSE 'assistant' END THEN 0
                  ELSE 1 END) AS wrong FROM turns GROUP BY conv_id),
     problems AS (SELECT *, CASE WHEN n = sys THEN 'empty' WHEN wrong > 0 THEN 'roles do not alternate'
         WHEN last_role <> 'user' THEN 'last message is not from user' END AS problem FROM facts)"""
@@ -32,14 +33,14 @@ def assembled(spark, sf):
 @query(
     "A9 R11 F23 W4 W5",
     f"""WITH {TURNS_SQL}
-        SELECT conv_id, 0 AS part, '<s>' || E'<<SYS>>\\n' ||
-            coalesce(max(CASE WHEN turn < p.sys THEN text END), {quoted(t.CHAT_SYSTEM_PROMPT)}) || E'\\n<</SYS>>\\n\\n'
-            || string_agg(CASE WHEN turn < p.sys THEN '' WHEN role = 'user' THEN '[INST]' || text || '[/INST]' ELSE text END,
-                          '' ORDER BY turn) AS prompt
+        SELECT conv_id, '<s>' || E'<<SYS>>\\n' ||
+            coalesce(max(CASE WHEN place < p.sys THEN text END), {quoted(t.CHAT_SYSTEM_PROMPT)}) || E'\\n<</SYS>>\\n\\n'
+            || string_agg(CASE WHEN place < p.sys THEN '' WHEN role = 'user' THEN '[INST]' || text || '[/INST]' ELSE text END,
+                          '' ORDER BY place) AS prompt
         FROM turns JOIN problems p USING (conv_id) WHERE problem IS NULL GROUP BY conv_id""",
 )
 def chat_prompt(spark, sf):
-    return ops.chat_prompts(assembled(spark, sf)).select("conv_id", "part", "prompt")
+    return ops.chat_prompts(assembled(spark, sf)).select("conv_id", "prompt")
 
 
 @query(
@@ -47,16 +48,14 @@ def chat_prompt(spark, sf):
     f"WITH {TURNS_SQL} SELECT conv_id, n AS n_turns, sys = 1 AS has_system, problem FROM problems",
 )
 def chat_problems(spark, sf):
-    return assembled(spark, sf).select(
-        "conv_id", F.col("n_turns").cast("bigint").alias("n_turns"), "has_system", "problem"
-    )
+    return ops.chat_facts(table(spark, sf, "conversations")).drop("last_role")
 
 
 @query(
     "W4 W5",
-    """SELECT conv_id, string_agg(CASE WHEN turn % 2 = 0 THEN text END, '|' ORDER BY turn) AS even_turns,
-       coalesce(string_agg(CASE WHEN turn % 2 = 1 THEN text END, '|' ORDER BY turn), '') AS odd_turns,
-       arg_max(role, turn) AS last_role FROM conversations GROUP BY conv_id""",
+    f"""WITH {TURNS_SQL} SELECT conv_id, string_agg(CASE WHEN place % 2 = 0 THEN text END, '|' ORDER BY place) AS even_turns,
+       coalesce(string_agg(CASE WHEN place % 2 = 1 THEN text END, '|' ORDER BY place), '') AS odd_turns,
+       arg_max(role, place) AS last_role FROM turns GROUP BY conv_id""",
 )
 def turn_parity(spark, sf):
     def texts(start):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -188,7 +190,7 @@ SQL_PAIRS = f"""SELECT DISTINCT {I} || E'\\n\\n### Instruction:\\nGenerate SQL q
 
 def sql_pairs(spark, sf):
     flat = readers.flatten(sql_records(spark, sf), "train")
-    kept = dedup.drop_duplicate_rows(flat.where(~F.col("answer").contains("FROM table_")))
+    kept = flat.where(~F.col("answer").contains("FROM table_"))
     instruction = prompts.sql_instruction("question", "context")
     return kept.withColumn("prompt", prompts.dataset_prompt(instruction)).select(
         "prompt", F.col("answer").alias("response")
@@ -197,7 +199,7 @@ def sql_pairs(spark, sf):
 
 @query("S11 P5 P6 R9 R10 F13 A3", SQL_PAIRS)
 def text_to_sql(spark, sf):
-    return sql_pairs(spark, sf)
+    return dedup.drop_duplicate_rows(sql_pairs(spark, sf))
 
 
 @query(
@@ -220,7 +222,7 @@ def instruction_dataset(spark, sf):
     turns = table(spark, sf, "conversations")
     asked = turns.where("role = 'user'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("prompt"))
     told = turns.where("role = 'assistant'").select("conv_id", "turn", F.col("text").alias("response"))
-    talks = dedup.drop_duplicate_rows(asked.join(told, ["conv_id", "turn"]).select("prompt", "response"))
+    talks = asked.join(told, ["conv_id", "turn"]).select("prompt", "response")
     merged = dedup.instruction_dataset(code, talks, sql_pairs(spark, sf), end_mark=t.END_OF_RESPONSE)
     return merged.withColumn("text", prompts.prompt_and_response("prompt", "response"))
 
@@ -285,14 +287,16 @@ def flatten_props(spark, sf):
 
 @query(
     "K8 T6 A2",
-    """WITH n AS (SELECT count(*) AS n, ceil(count(*) * 0.05) AS k FROM documents)
-       SELECT 'test' AS split, k::BIGINT AS n_rows, greatest(1, ceil(k / 200))::BIGINT AS most_shards FROM n
-       UNION ALL SELECT 'train', (n - k)::BIGINT, greatest(1, ceil((n - k) / 200))::BIGINT FROM n""",
+    """WITH n AS (SELECT count(*) AS n, ceil(count(*) * 0.05) AS k, greatest(200, ceil(count(*) / 1000))::BIGINT AS s FROM documents)
+       SELECT 'test' AS split, k::BIGINT AS n_rows, greatest(1, ceil(k / s))::BIGINT AS most_shards FROM n
+       UNION ALL SELECT 'train', (n - k)::BIGINT, greatest(1, ceil((n - k) / s))::BIGINT FROM n""",
 )
 def training_shards(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", prompts.summary("text").alias("text"))
     parts = sample.train_test_split(rows, "doc_id", 0.05)
-    manifest = writers.save_training_shards(parts, run_path(spark, "shards"), "doc_id", rows_per_shard=200)
+    # About a thousand shards whatever the table's size, of 200 rows at least.
+    per_shard = max(200, math.ceil(rows.count() / 1000))
+    manifest = writers.save_training_shards(parts, run_path(spark, "shards"), "doc_id", rows_per_shard=per_shard)
     return manifest.groupBy("split").agg(
         F.sum("n_rows").alias("n_rows"), (F.max("shard") + 1).cast("bigint").alias("most_shards")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from ..functions import prompts, text
 from ..operators import images, product
 from ..session import run_path
-from ..sources import writers
+from ..sources import readers, writers
 from .registry import query, table
 
 _COMBINED = """FROM (SELECT DISTINCT p_name FROM part) i CROSS JOIN (SELECT DISTINCT p_brand FROM part) s
@@ -17,9 +17,9 @@ _COMBINED = """FROM (SELECT DISTINCT p_name FROM part) i CROSS JOIN (SELECT DIST
 
 def _combined(spark, sf):
     part = table(spark, sf, "part")
-    styles = product.short_list(part, "p_brand")
-    colours = [f" {c}" for c in product.short_list(part, "p_type")]
-    return product.combinations(part.select("p_name").distinct(), styles, colours)
+    styles = part.select(F.col("p_brand").alias("style")).distinct()
+    colours = part.select(F.concat(F.lit(" "), "p_type").alias("colour")).distinct()
+    return product.combinations_with(product.combinations_with(part.select("p_name").distinct(), styles, "style"), colours, "colour")
 
 
 @query(
@@ -47,8 +47,8 @@ def caption_prompts(spark, sf):
 def combinations_of_tables(spark, sf):
     part = table(spark, sf, "part")
     items = part.select("p_name").distinct()
-    pairs = product.combinations_with(items, part.select("p_brand").distinct(), "p_brand", 10, 20)
-    return product.combinations_with(pairs, part.select("p_type").distinct(), "p_type", 4, 500)
+    pairs = product.combinations_with(items, part.select("p_brand").distinct(), "p_brand", 10)
+    return product.combinations_with(pairs, part.select("p_type").distinct(), "p_type", 4)
 
 
 @query(
@@ -116,7 +116,27 @@ def image_metadata(spark, sf):
 
 
 @query(
-    "J4 S9",
+    "S9",
+    f"""WITH {METADATA_SQL} SELECT p_partkey, m.text, TRUE AS is_png FROM part JOIN metadata m
+        ON file_name = p_partkey::VARCHAR || '.png'""",
+)
+def image_files(spark, sf):
+    """A small PNG file for each part beside the captions' CSV, read back as a folder of images."""
+    path = run_path(spark, "images")
+    writers.save_csv(images.image_metadata(images.image_prompts(descriptions(spark, sf))), f"{path}/metadata.csv")
+    colour = F.pmod(F.xxhash64("p_partkey"), F.lit(1 << 24)).cast("int")
+    named = table(spark, sf, "part").select(text.file_name("p_partkey").alias("name"), colour.alias("colour"))
+    writers.save_files(images.one_colour(named, "colour", "content"), path, "name", "content")
+    found = readers.image_folder(spark, path)
+    return found.select(
+        F.substring_index("file_name", ".", 1).cast("bigint").alias("p_partkey"),
+        "text",
+        (F.substring("content", 2, 3).cast("string") == "PNG").alias("is_png"),
+    )
+
+
+@query(
+    "J4",
     f"""WITH {METADATA_SQL} SELECT p_partkey, file_name, m.text FROM part JOIN metadata m
         ON file_name = p_partkey::VARCHAR || '.png'""",
 )

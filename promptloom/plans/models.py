@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import prompts, responses, tokens
-from ..functions.text import strip
+from ..functions.text import drop_prompt, strip
 from ..models import standins
 from ..operators import generate as g
 from ..operators import partitions, stats
+from ..sources import readers
 from .registry import n_tokens_sql, query, summary_sql, table, texts
 
 
@@ -77,27 +79,26 @@ def out_of_memory(spark, sf):
     return g.generate(docs, "text", "answer", _small_memory, batch_size=30).select("doc_id", "answer", "status")
 
 
-_ECHO = f"""(SELECT {n_tokens_sql('text', None)} AS p, {n_tokens_sql("text || chr(10) || ' ' || " + summary_sql('text') + " || ' '", None)} AS o
-    FROM documents)"""
+_ECHO = f"""(SELECT {n_tokens_sql('text', None)} AS p, {n_tokens_sql("text || chr(10) || ' ' || " + summary_sql('text') + " || ' '", None)} AS o,
+    {n_tokens_sql(summary_sql('text'), None)} AS c FROM documents)"""
 
 
 @query(
     "A7 UD6",
     f"""SELECT 'with_prompt' AS counting, sum(o)::BIGINT AS n_tokens FROM {_ECHO}
         UNION ALL SELECT 'minus_prompt', sum(o - p)::BIGINT FROM {_ECHO}
-        UNION ALL SELECT 'completion', sum(o)::BIGINT FROM {_ECHO}""",
+        UNION ALL SELECT 'completion', sum(c)::BIGINT FROM {_ECHO}""",
 )
 def throughput(spark, sf):
     docs = texts(spark, sf, "documents").select("doc_id", "text")
     timed = g.generate_timed(docs, "text", "output", standins.echo_generator)
-    counted = stats.token_columns(timed, {"p": "text", "o": "output"}, cap=None).select("p", "o", "seconds")
-    rows = [
-        stats.throughput(counted, F.col("p"), F.col("o"), counting).select(
-            F.lit(counting).alias("counting"), "n_tokens"
-        )
-        for counting in ("with_prompt", "minus_prompt", "completion")
-    ]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+    counted = timed.select(
+        tokens.n_tokens("text").alias("p"),
+        tokens.n_tokens("output").alias("o"),
+        tokens.n_tokens(drop_prompt("output", "text")).alias("c"),
+        "seconds",
+    )
+    return stats.throughput(counted, F.col("p"), F.col("o"), F.col("c")).select("counting", "n_tokens")
 
 
 def _small_batches():
@@ -119,11 +120,19 @@ def batch_sizes(spark, sf):
     return sweep.select("batch_size", "n_rows", "success")
 
 
-@query("W3 A8")
+@query(
+    "W3 A8",
+    """WITH s AS (SELECT (1 + doc_id % 6)::INTEGER AS batch_size, count(*) AS n_rows, sum(n_chars / 1024) / count(*) AS unit_time,
+           1 + doc_id % 6 <= 4 AS success FROM documents GROUP BY ALL)
+       SELECT batch_size, n_rows, unit_time FROM s WHERE success ORDER BY unit_time, batch_size LIMIT 1""",
+)
 def best_batch_size(spark, sf):
-    """Depends on measured times, so there is no SQL to compare with."""
-    sweep = g.batch_size_sweep(texts(spark, sf, "documents"), "text", _small_batches, [1, 3, 5, 7, 10])
-    return g.best_batch_size(sweep)
+    """Over given timings: a document stands for a batch, its length for the time; sizes over 4 fail."""
+    size = (F.col("doc_id") % 6 + 1).cast("int")
+    timings = table(spark, sf, "documents").select(
+        size.alias("batch_size"), F.lit(1).cast("long").alias("n"), (F.col("n_chars") / 1024).alias("seconds"), (size <= 4).alias("success")
+    )
+    return g.best_batch_size(g.summarise_sweep(timings)).select("batch_size", "n_rows", "unit_time")
 
 
 def _numbered():
@@ -150,16 +159,46 @@ def candidate_answers(spark, sf):
     )
 
 
-@query("UD5 S10", "SELECT source, count(*) AS n_rows, 'OK' AS res FROM documents GROUP BY source")
+@query("UD5", "SELECT source, count(*) AS n_rows, sum(n_chars)::BIGINT AS n_chars FROM documents GROUP BY source")
 def barrier_run(spark, sf):
-    per_source = table(spark, sf, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Rows of a source meet in one partition; all partitions start together and add up their own rows."""
+    n = partitions.slots(spark)
+    docs = table(spark, sf, "documents").select("source", "n_chars")
 
     def run(batches):
+        sums = None
         for frame in batches:
-            yield frame.assign(res="OK")
+            part = frame.groupby("source")["n_chars"].agg(["size", "sum"])
+            sums = part if sums is None else sums.add(part, fill_value=0)
+        if sums is not None:
+            yield pd.DataFrame({"source": sums.index, "n_rows": sums["size"].astype(int), "n_chars": sums["sum"].astype(int)})
 
-    n = partitions.slots(spark)
-    return partitions.run_on_partitions(per_source, run, "source string, n_rows long, res string", n)
+    parts = partitions.run_on_partitions(docs, run, "source string, n_rows long, n_chars long", n)
+    return parts.groupBy("source").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_chars").alias("n_chars"))
+
+
+@query(
+    "S10 UD5",
+    "SELECT lang, count(*) AS n_rows, 'OK' AS res FROM documents GROUP BY lang",
+)
+def slot_check(spark, sf):
+    """The table's counts beside the answer that every task slot gave."""
+    answers = partitions.run_on_all_slots(spark, lambda: "OK").groupBy("res").agg(F.count(F.lit(1)).alias("n_slots"))
+    counts = table(spark, sf, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows"))
+    every = answers.where(F.col("n_slots") == partitions.slots(spark)).select("res", F.lit(1).alias("_k"))
+    return counts.withColumn("_k", F.lit(1)).join(every, "_k").drop("_k")
+
+
+@query(
+    "S3 V2",
+    """SELECT doc_id, name FROM documents JOIN (VALUES ('en', 'English'), ('de', 'German'), ('fr', 'French')) AS n(lang, name)
+       USING (lang)""",
+)
+def language_names(spark, sf):
+    """A fixed list of rows as a table, joined to the documents."""
+    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("name", T.StringType())])
+    names = readers.from_rows(spark, [("en", "English"), ("de", "German"), ("fr", "French")], schema)
+    return table(spark, sf, "documents").join(names, "lang").select("doc_id", "name")
 
 
 @query(

@@ -11,7 +11,7 @@ from ..operators import chats as ops
 from ..operators import guard
 from ..session import run_path
 from ..streaming import inference_log
-from .chats import CHATS_SQL, assembled
+from .chats import CHATS_SQL, TURNS_SQL, assembled
 from .registry import query, quoted, strip_sql, summary_sql, table, texts
 
 TAXONOMY = standins.TAXONOMY
@@ -31,13 +31,13 @@ _MOD_TAIL = (
 
 @query(
     "A9 R13 W4",
-    f"""WITH j AS (SELECT conv_id, CASE WHEN count(*) % 2 = 0 THEN 'Agent' ELSE 'User' END AS judged,
-            string_agg(CASE WHEN turn % 2 = 0 THEN 'User' ELSE 'Agent' END || ': ' || text || chr(10) || chr(10), ''
-                       ORDER BY turn) AS body FROM conversations GROUP BY conv_id)
-        SELECT conv_id, 0 AS part, {_MOD_HEAD} || body || {_MOD_TAIL} AS prompt FROM j""",
+    f"""WITH {TURNS_SQL}, j AS (SELECT conv_id, CASE WHEN count(*) % 2 = 0 THEN 'Agent' ELSE 'User' END AS judged,
+            string_agg(CASE WHEN place % 2 = 0 THEN 'User' ELSE 'Agent' END || ': ' || text || chr(10) || chr(10), ''
+                       ORDER BY place) AS body FROM turns GROUP BY conv_id)
+        SELECT conv_id, {_MOD_HEAD} || body || {_MOD_TAIL} AS prompt FROM j""",
 )
 def moderation_prompt(spark, sf):
-    return ops.moderation_prompts(assembled(spark, sf), TAXONOMY).select("conv_id", "part", "prompt")
+    return ops.moderation_prompts(assembled(spark, sf), TAXONOMY).select("conv_id", "prompt")
 
 
 def whole_chat_sql(json: str, taxonomy: str = quoted(t.DEFAULT_TAXONOMY)) -> str:
@@ -165,16 +165,16 @@ _SENTENCES = {"O1": "Violence.", "O2": "Self-harm.", "O3": "Crime planning!"}
 
 @query(
     "N14 F7 J5",
-    f"""WITH j AS (SELECT conv_id, string_agg(CASE WHEN turn % 2 = 0 THEN 'User' ELSE 'Agent' END || ': ' || text
-            || chr(10) || chr(10), '' ORDER BY turn) AS body FROM conversations GROUP BY conv_id),
+    f"""WITH {TURNS_SQL}, j AS (SELECT conv_id, string_agg(CASE WHEN place % 2 = 0 THEN 'User' ELSE 'Agent' END || ': ' || text
+            || chr(10) || chr(10), '' ORDER BY place) AS body FROM turns GROUP BY conv_id),
         g AS (SELECT conv_id, nullif({guard_sql('body')}, '') AS code FROM j)
         SELECT conv_id, code IS NULL AS is_safe, code,
         CASE WHEN code IS NOT NULL THEN {category_sql('code', _SENTENCES)} END AS category FROM g""",
 )
 def guard_scores(spark, sf):
-    prompted = ops.moderation_prompts(assembled(spark, sf), TAXONOMY)
-    scored = guard.score(prompted, "prompt", standins.guard, F.lit(TAXONOMY))
-    return scored.select("conv_id", "is_safe", "code", "category")
+    parts = ops.guard_parts(table(spark, sf, "conversations"), TAXONOMY)
+    scored = guard.score(parts, "prompt", standins.guard, F.lit(TAXONOMY))
+    return guard.per_chat(scored, "conv_id", F.lit(TAXONOMY)).select("conv_id", "is_safe", "code", "category")
 
 
 def _json(extra: str = "") -> str:
@@ -200,7 +200,7 @@ def safe_chat(spark, sf):
     n = F.size("messages")
     requests = assembled(spark, sf).select(
         "conv_id",
-        F.concat_ws("-", "conv_id", "part").alias("request_id"),
+        F.concat(F.col("conv_id").cast("string"), F.lit("-0")).alias("request_id"),
         "messages",
         F.when(n > 3, True).alias("enable_safety_filter"),
         (n > 5).alias("enable_pii_filter"),

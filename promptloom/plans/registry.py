@@ -44,10 +44,11 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+PIECE_SQL = r"\s*(?:[\p{L}\p{N}]+|[^\p{L}\p{N}\s])(?:\s+\z)?|\s+"
 TOKEN_SQL = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
 
 
-def n_tokens_sql(expression: str, cap: int | None = 2048) -> str:
+def n_tokens_sql(expression: str, cap: int | None = None) -> str:
     n = f"len(regexp_extract_all({expression}, '{TOKEN_SQL}'))"
     return f"least({n}, {cap})" if cap else n
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import responses, text, tokens
 from ..sources import readers
-from .registry import n_tokens_sql, query, table, texts
+from .registry import PIECE_SQL, n_tokens_sql, query, table, texts
 
 
 @query(
@@ -30,22 +30,30 @@ def json_response(spark, sf):
     return docs.select("doc_id", responses.json_response(readers.first_column(docs)).alias("json"))
 
 
-_LENGTHS = f"""(SELECT doc_id, {n_tokens_sql('text', None)} AS p, {n_tokens_sql("text || ' ' || source", 512)} AS a,
-    {n_tokens_sql("source", 512)} AS b FROM documents)"""
+# Two answers of each document, cut at the request's limit, with the token counts of what is left.
+_LIMIT_SQL = "CASE WHEN lang = 'en' THEN 512 ELSE 64 END"
+_ANSWERS = f"""(SELECT *, array_to_string(list_slice(regexp_extract_all(text || ' ' || source, '{PIECE_SQL}'), 1, m), '') AS first_text,
+    least({n_tokens_sql("text || ' ' || source")}, m) AS a, least({n_tokens_sql('source')}, m) AS b, {n_tokens_sql('text')} AS p
+    FROM (SELECT *, {_LIMIT_SQL} AS m FROM documents))"""
+
+
+def answered(spark, sf):
+    """``doc_id, t, n, p, m``: answers, their token counts, the prompt's, and the most that was asked for."""
+    limit = F.when(F.col("lang") == "en", 512).otherwise(64)
+    rows = texts(spark, sf, "documents").select("doc_id", "text", F.concat_ws(" ", "text", "source").alias("x"), "source", limit.alias("m"))
+    cut = rows.select("doc_id", "text", "m", F.array(tokens.cut("x", F.col("m")), tokens.cut("source", F.col("m"))).alias("t"))
+    lengths = F.transform("t", lambda x: tokens.n_tokens(x).cast("bigint"))
+    return cut.select("doc_id", "t", lengths.alias("n"), tokens.n_tokens("text").alias("p"), "m")
 
 
 @query(
     "A6 F15",
     f"""SELECT doc_id, p AS prompt_tokens, greatest(a, b) AS longest_completion_tokens, a + b AS completion_tokens,
-        p + a + b AS total_tokens, CASE WHEN a = 512 THEN 'length' ELSE 'stop' END AS finish_reason FROM {_LENGTHS}""",
+        p + a + b AS total_tokens, CASE WHEN a >= m THEN 'length' ELSE 'stop' END AS finish_reason FROM {_ANSWERS}""",
 )
 def token_usage(spark, sf):
-    answers = F.array(F.concat_ws(" ", "text", "source"), F.col("source"))
-    lengths = F.transform(answers, lambda x: tokens.n_tokens(x, 512).cast("bigint"))
-    rows = texts(spark, sf, "documents").select(
-        "doc_id", answers.alias("t"), lengths.alias("n"), tokens.n_tokens("text", None).alias("p")
-    )
-    first = F.get(responses.candidates("t", "n", 512), F.lit(0))
+    rows = answered(spark, sf)
+    first = F.get(responses.candidates("t", "n", F.col("m")), F.lit(0))
     return rows.select(
         "doc_id", responses.usage("p", "n").alias("u"), first["metadata"]["finish_reason"].alias("finish_reason")
     ).select("doc_id", "u.*", "finish_reason")
@@ -53,19 +61,14 @@ def token_usage(spark, sf):
 
 @query(
     "F24 F15 P12",
-    f"""SELECT doc_id, text || ' ' || source AS first_text, p + a + b AS chat_total, doc_id::VARCHAR AS request_id,
-        CASE WHEN b = 512 THEN 'length' ELSE 'stop' END AS second_reason, 1 AS second_index,
-        greatest(a, b) AS longest, 'llm/v1/chat' AS route_type FROM {_LENGTHS} JOIN documents USING (doc_id)""",
+    f"""SELECT doc_id, first_text, p + a + b AS chat_total, doc_id::VARCHAR AS request_id,
+        CASE WHEN b >= m THEN 'length' ELSE 'stop' END AS second_reason, 1 AS second_index,
+        greatest(a, b) AS longest, 'llm/v1/chat' AS route_type FROM {_ANSWERS}""",
 )
 def service_records(spark, sf):
-    answers = F.array(F.concat_ws(" ", "text", "source"), F.col("source"))
-    lengths = F.transform(answers, lambda x: tokens.n_tokens(x, 512).cast("bigint"))
-    rows = texts(spark, sf, "documents").select(
-        "doc_id", answers.alias("t"), lengths.alias("n"), tokens.n_tokens("text", None).alias("p")
-    )
-    chat = responses.candidates_response("t", "n", "p", 512, "stand-in")
-    text_record = responses.text_completion("doc_id", "t", "n", "p", 512, "stand-in")
-    return rows.select("doc_id", chat.alias("c"), text_record.alias("r")).select(
+    chat = responses.candidates_response("t", "n", "p", F.col("m"), "stand-in")
+    text_record = responses.text_completion("doc_id", "t", "n", "p", F.col("m"), "stand-in")
+    return answered(spark, sf).select("doc_id", chat.alias("c"), text_record.alias("r")).select(
         "doc_id",
         responses.first_candidate("c.candidates").alias("first_text"),
         F.col("c.metadata.total_tokens").alias("chat_total"),

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..session import run_path
+from ..session import materialize, run_path
 from ..sources import readers, writers
 from .registry import query, table
 
@@ -26,11 +26,17 @@ def table_round_trip(spark, sf):
     writers.save_table(docs.select("lang", "n_chars"), name, overwrite=True)
     by_name = readers.load_dataset(spark, name).groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows"))
     by_sql = spark.sql(f"SELECT lang, sum(n_chars) AS n_chars FROM {name} GROUP BY lang")
-    return by_name.join(by_sql, "lang")
+    # Kept as a small table, so that the database can go.
+    result = materialize(by_name.join(by_sql, "lang"), "round-trip")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return result
 
 
 @query("K3 K6 A2", "SELECT role, count(*) AS n_rows FROM conversations GROUP BY role")
 def cached_counts(spark, sf):
     """Counted once, kept, and computed through the no-output sink."""
     counts = table(spark, sf, "conversations").groupBy("role").agg(F.count(F.lit(1)).alias("n_rows"))
-    return writers.cached(counts)
+    kept = writers.cached(counts)
+    result = materialize(kept, "counts")
+    kept.unpersist()
+    return result

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,11 +32,13 @@ def get_session(app_name: str = "promptloom", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    On a cluster this is ``spark.checkpoint.dir``. Only where that is unset (tests, one machine)
-    is a temporary folder made and announced to Spark as its checkpoint folder.
+    On a cluster this is ``spark.checkpoint.dir``, and it is an error not to name one. Only in local mode is a
+    temporary folder made and announced to Spark as its checkpoint folder.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not context.getCheckpointDir() and not re.match(r"local(\[|$)", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not context.getCheckpointDir():
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="promptloom-"))
     return (configured or context.getCheckpointDir()).rstrip("/")

@@ -12,14 +12,19 @@ from ..functions.text import col
 from ..operators.sample import train_test_split
 
 
+#: Scan partitions from which an input is large enough to be left as it is.
+TINY = 16
+
+
 def balanced(df: DataFrame) -> DataFrame:
-    """Spread a small input over all task slots before heavy per-row work.
+    """Spread a tiny input over all task slots before heavy per-row work.
 
-    An input with more partitions than slots is left as it is, so at most one partition's worth
-    of data per slot is ever shuffled here.
+    Only an input that the scan splits into fewer than ``TINY`` partitions, and fewer than there are slots,
+    is dealt out anew: a single file with one row group can't be split by the scan. Anything larger keeps the
+    scan's own splits, so no text is shuffled at scale.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() <= slots else df
+    return df.repartition(slots) if df.rdd.getNumPartitions() < min(TINY, slots) else df
 
 
 def from_rows(spark: SparkSession, rows: Iterable, schema: T.StructType) -> DataFrame:
@@ -50,7 +55,7 @@ def load_split(df: DataFrame, split: str, source: str, split_col: str = "split")
     """The rows of one split; a split without rows is a configuration error."""
     rows = df.where(F.col(split_col) == split)
     if rows.isEmpty():
-        raise ValueError(f"Split {split} does not exist in the dataset loaded from {source}!")
+        raise ValueError(f"{source} has no rows in a split named {split}")
     return rows.drop(split_col)
 
 

@@ -25,11 +25,14 @@ def read_requests(
 
 
 def judged(requests: DataFrame, role: str, text: str, loader: Loader, taxonomy: Column) -> DataFrame:
-    """Each request judged as a one-message chat, its text masked. Stateless, so no watermark."""
+    """Each request judged as a one-message chat, its text masked. Stateless, so no watermark.
+
+    ``status`` tells where the guard gave no verdict.
+    """
     message = F.array(F.struct(F.col(role).alias("role"), F.col(text).alias("content")))
     prompt = chat.moderation_prompt(message, taxonomy)
     scored = guard.score(requests, prompt, loader, taxonomy)
-    return scored.withColumn(text, pii.mask_pii(text)).drop("verdict", "status", "error")
+    return scored.withColumn(text, pii.mask_pii(text)).drop("verdict", "error")
 
 
 def append(log: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -44,10 +47,17 @@ def append(log: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+NOT_JUDGED = "not judged"
+
+
 def monitor(log: DataFrame) -> DataFrame:
-    """Unsafe messages per violated code."""
+    """Messages that did not pass, per violated code; those without a verdict are a class of their own."""
+    unknown = F.col("is_safe").isNull()
     return (
-        log.where(~F.col("is_safe"))
-        .groupBy("code", "category")
+        log.where(unknown | ~F.col("is_safe"))
+        .groupBy(
+            F.when(unknown, NOT_JUDGED).otherwise(F.col("code")).alias("code"),
+            F.when(unknown, F.col("status")).otherwise(F.col("category")).alias("category"),
+        )
         .agg(F.count(F.lit(1)).alias("n_messages"))
     )

@@ -71,29 +71,72 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("per_row", [4, 3, 2, 1, 1024])
-def test_long_chats_are_cut_into_parts(spark, per_row):
-    """Parts say the same about their chat, and render to the same text, as one whole row."""
-    whole = chats.assemble_chats(turns(spark, CASES))
-    cut = chats.assemble_chats(turns(spark, CASES), turns_per_row=per_row)
-    assert all(len(r["messages"]) <= per_row for r in cut.collect())
-
-    def facts(df):
-        return {tuple(r) for r in df.select("conv_id", "n_turns", "has_system", "problem").collect()}
-
-    assert facts(cut) == facts(whole)
-
-    def joined(df):
-        text = {}
-        for r in sorted(df.select("conv_id", "part", "prompt").collect()):
-            text[r["conv_id"]] = text.get(r["conv_id"], "") + r["prompt"]
-        return text
-
-    assert joined(chats.chat_prompts(cut)) == joined(chats.chat_prompts(whole))
-    assert set(joined(chats.chat_prompts(whole))) == {1, 2, 5, 7}
-    guarded = joined(chats.moderation_prompts(cut, "T", turns_per_row=per_row))
-    assert guarded == joined(chats.moderation_prompts(whole, "T"))
-    assert "'Agent' messages" in guarded[8] and "'User' messages" in guarded[7]
+def test_facts_without_arrays(spark):
+    """Plain aggregates say the same about a chat as its whole row does."""
+    table = turns(spark, CASES | {9: [U, A] * 550 + [U]})
+    names = ["conv_id", "n_turns", "has_system", "problem"]
+    whole = {tuple(r) for r in chats.assemble_chats(table).select(*names).collect()}
+    assert {tuple(r) for r in chats.chat_facts(table).select(*names).collect()} == whole
+    assert {r[0] for r in chats.chat_prompts(chats.assemble_chats(table)).select("conv_id").collect()} == {1, 2, 5, 7, 9}
+
+
+def test_gaps_in_turn_numbers(spark):
+    rows = [(1, 1, U, "a"), (1, 2, A, "b"), (1, 1500, U, "c"), (2, 7, S, "s")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {r["conv_id"]: r for r in chats.chat_facts(table).collect()}
+    assert found[1]["n_turns"] == 3 and found[1]["problem"] is None and found[2]["problem"] == chat.EMPTY
+    assert chats.assemble_chats(table).count() == 2
+
+
+@pytest.mark.parametrize("per_prompt", [4, 3, 1, 1024])
+def test_guard_parts_have_one_verdict_per_chat(spark, per_prompt):
+    """Every part has head, taxonomy and tail; a chat is unsafe if any part is, with the codes of all."""
+    rows = [(c, i, U if i % 2 == 0 else A, w) for c, words in TALKS.items() for i, w in enumerate(words)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    parts = chats.guard_parts(table, standins.TAXONOMY, turns_per_prompt=per_prompt)
+    for r in parts.collect():
+        assert r["prompt"].count("<BEGIN CONVERSATION>") == r["prompt"].count("Provide your safety assessment") == 1
+        assert "O1: Violence." in r["prompt"]
+    scored = guard.score(parts, "prompt", standins.guard, F.lit(standins.TAXONOMY))
+    got = {r["conv_id"]: r for r in guard.per_chat(scored, "conv_id", F.lit(standins.TAXONOMY)).collect()}
+    assert {c: (r["is_safe"], r["code"]) for c, r in got.items()} == {
+        1: (False, "O1,O3,O9"), 2: (True, None), 3: (False, "O3"),
+    }
+    assert got[3]["category"] == "Crime planning!"
+
+
+TALKS = {1: ["fraud", "x", "kill", "y", "z", "steal"], 2: ["hello"] * 9, 3: ["a", "b", "c", "d", "steal"]}
+
+
+def test_a_part_without_verdict_leaves_the_chat_open(spark):
+    rows = [(1, True, None), (1, None, None), (2, False, "O1"), (2, None, None), (3, True, None)]
+    parts = spark.createDataFrame(rows, "conv_id long, is_safe boolean, code string")
+    got = guard.per_chat(parts, "conv_id", F.lit(standins.TAXONOMY)).select("conv_id", "is_safe").collect()
+    assert {tuple(r) for r in got} == {(1, None), (2, False), (3, True)}
+
+
+def test_chat_queries_on_long_chats(spark, tmp_path):
+    """Every chat query agrees with its SQL where a chat has 1,101 turns and another has gaps."""
+    import compare
+    from promptloom.plans import QUERIES
+
+    words = ["hello there", "we will steal it", "kill time", "nothing"]
+    rows = [(1, i, U if i % 2 == 0 else A, f"{words[i % 4 if i > 1090 else 0]} {i}") for i in range(1101)]
+    rows += [(2, t, r, f"text {t}") for t, r in ((1, U), (2, A), (1500, U))]
+    rows += [(3, t, r, f"text {t}") for t, r in ((0, S), (1, U), (2, A), (3, U))]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    for name in compare.TABLES:
+        frame = table if name == "conversations" else spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(5)
+        frame.coalesce(1).write.parquet(str(tmp_path / name))
+        part = next((tmp_path / name).glob("part-*.parquet"))
+        part.rename(tmp_path / f"{name}.parquet")
+    duck = compare.connect(str(tmp_path))
+    for name in (
+        "chat_prompt", "chat_problems", "turn_parity", "chats_from_json", "moderation_prompt",
+        "moderation_prompt_whole_chat", "guard_scores", "safe_chat", "training_pairs",
+    ):
+        result = compare.spark_rows(QUERIES[name].build(spark, str(tmp_path)))
+        assert compare.difference(result, compare.duckdb_rows(duck, QUERIES[name].sql)) is None, name
 
 
 def test_moderation_prompt_text(spark):

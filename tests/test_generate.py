@@ -144,8 +144,43 @@ def test_timing_and_throughput(spark):
     frame = spark.range(10).select(F.col("id").cast("string").alias("p")).coalesce(1)
     timed = g.generate_timed(frame, "p", "o", standins.echo_generator, batch_size=3)
     assert timed.columns == ["p", "o", "seconds"] and timed.where("seconds > 0").count() == 10
-    row = stats.throughput(timed, F.lit(1), F.lit(3), "minus_prompt").first()
-    assert row["n_tokens"] == 20 and row["tokens_per_second"] == pytest.approx(20 / row["seconds"])
+    found = {r["counting"]: r for r in stats.throughput(timed, F.lit(1), F.lit(3), F.lit(2)).collect()}
+    assert {c: r["n_tokens"] for c, r in found.items()} == {"with_prompt": 30, "minus_prompt": 20, "completion": 20}
+    row = found["minus_prompt"]
+    assert row["tokens_per_second"] == pytest.approx(20 / row["seconds"])
+
+
+def test_null_prompts_skip_timed_models(spark):
+    frame = spark.createDataFrame([("a",), (None,), ("b",)], "p string").coalesce(1)
+    timed = g.generate_timed(frame, "p", "o", standins.answer_generator)
+    assert [(r["o"] is None, r["seconds"] > 0) for r in timed.collect()] == [(False, True), (True, False), (False, True)]
+    sweep = g.batch_size_sweep(frame, "p", standins.answer_generator, [1, 2])
+    assert {r["batch_size"]: r["n_rows"] for r in sweep.collect()} == {1: 2, 2: 2}
+
+
+def test_sweep_of_a_sample_stops_calling_a_failed_size(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def loader():
+        def predict(prompts):
+            if len(prompts) > 4:
+                calls.add(1)
+                raise MemoryError
+            return prompts
+
+        return predict
+
+    frame = spark.range(500).select(F.col("id").cast("string").alias("p")).coalesce(1)
+    sweep = g.batch_size_sweep(frame, "p", loader, [4, 8], sample=64)
+    assert {r["batch_size"]: (r["n_rows"], r["success"]) for r in sweep.collect()} == {4: (64, True), 8: (64, False)}
+    assert calls.value == 1
+
+
+def test_given_timings_decide_the_best_size(spark):
+    rows = [(1, 1, 0.5, True), (2, 2, 0.5, True), (2, 2, 0.7, True), (4, 4, 0.2, False), (8, 8, 0.1, True)]
+    timings = spark.createDataFrame(rows, "batch_size int, n long, seconds double, success boolean")
+    assert [r["batch_size"] for r in g.summarise_sweep(timings).orderBy("batch_size").collect()] == [1, 2, 4]
+    assert g.best_batch_size(g.summarise_sweep(timings)).first()["batch_size"] == 2
 
 
 def test_sweep_stops_at_the_first_failing_size(spark):
@@ -191,6 +226,6 @@ def test_candidates(spark):
 
         return predict
 
-    frame = spark.createDataFrame([("a", 2), ("big", 1), (None, 3), ("c", 0)], "p string, n int").coalesce(1)
+    frame = spark.createDataFrame([("a", 2), ("big", 1), (None, 3), ("c", 0), ("d", None)], "p string, n int").coalesce(1)
     out = g.generate_candidates(frame, "p", F.col("n"), "c", loader, batch_size=3, params={"t": F.lit("x")})
-    assert [r["c"] for r in out.collect()] == [["a0x", "a1x"], [None], [], []]
+    assert [r["c"] for r in out.collect()] == [["a0x", "a1x"], [None], [], [], []]

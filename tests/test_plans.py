@@ -86,11 +86,27 @@ def test_not_like_is_pushed_down(spark, sf):
     assert "Not(StringContains(source,src1))" in plan(docs)
 
 
-def test_dedup_of_long_rows_moves_fingerprints_only(spark, sf):
-    """No exchange carries the text of rows that occur once."""
-    from promptloom.operators import dedup
-
-    docs = table(spark, sf, "documents").select("text", "lang")
-    text_plan = plan(dedup.drop_duplicate_rows(docs, long_rows=True), "simple")
-    assert text_plan.count("hashpartitioning(text") == 1
-    assert text_plan.index("LeftAnti") < text_plan.index("hashpartitioning(text") < text_plan.index("LeftSemi")
+def test_instruction_dataset_reads_each_source_once(spark, sf):
+    """Documents, parts, and the two sides of the turns; one shuffle of pairs for the duplicates."""
+    text_plan = plan(QUERIES["instruction_dataset"].build(spark, sf), "simple")
+    assert text_plan.count("FileScan") == 4 and text_plan.count("hashpartitioning(prompt") == 1
+
+
+def test_throughput_calls_the_model_once(spark, sf):
+    assert plan(QUERIES["throughput"].build(spark, sf), "simple").count("MapInArrow") == 1
+
+
+def test_large_inputs_are_not_dealt_out_anew(spark, sf):
+    from promptloom.sources import readers
+
+    docs = table(spark, sf, "documents").repartition(readers.TINY, "doc_id")
+    assert "RoundRobin" not in plan(readers.balanced(docs))
+
+
+def test_model_stage_asks_for_its_profile(spark):
+    from promptloom.models import standins
+    from promptloom.operators import generate
+
+    frame = spark.createDataFrame([("a", 1)], "p string, n int")
+    out = generate.generate(frame, "p", "o", standins.answer_generator, n_partitions=3)
+    assert "RoundRobinPartitioning(3)" in plan(out, "simple")

@@ -179,12 +179,39 @@ def test_combinations(spark):
     short = product.combinations(items, ["s1", "s2"], ["red"])
     assert {tuple(r) for r in short.collect()} == {(i, s, "red") for i in ("hat", "sock") for s in ("s1", "s2")}
     values = spark.range(100).select(F.col("id").cast("string").alias("v"))
-    long = product.combinations_with(items, values, "v", rows_per_block=9, rows_per_tile=1)
+    long = product.combinations_with(items, values, "v", rows_per_block=9)
     assert {tuple(r) for r in long.collect()} == {(i, str(v)) for i in ("hat", "sock") for v in range(100)}
-    with pytest.raises(ValueError):
-        product.combinations(items, ["x"] * (product.MAX_LIST + 1), [])
-    with pytest.raises(ValueError):
-        product.short_list(values, "v", 99)
+    many = product.combinations(items, [str(i) for i in range(2000)], ["c"])
+    assert many.distinct().count() == 4000
+    # One value that fills the list, and equal items.
+    same = spark.createDataFrame([("hat",)] * 3, "item string")
+    equal = product.combinations_with(same, spark.range(50).select(F.lit("v").alias("v")), "v", rows_per_block=10)
+    assert equal.count() == 150 and equal.distinct().count() == 1
+
+
+def test_large_similarity_matrix(spark):
+    """The tiled path in tiles of its own size, over several tiles and slabs."""
+    rng = np.random.default_rng(2)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(5000, 3)))]
+    left = spark.createDataFrame(rows, "i long, v array<float>").repartition(3)
+    right = left.select(F.col("i").alias("j"), F.col("v").alias("w")).where("j < 4500")
+    out = search.similarity_matrix(left, right, "i", "v", "j", "w", broadcast_bytes=0)
+    sizes = out.select("i", F.size("scores").alias("n"), F.size("column_ids").alias("m")).groupBy("i").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    assert sizes.where("n = 4500 and m = 4500").count() == 5000
+    itself = out.select("i", F.arrays_zip("column_ids", "scores").alias("z")).select("i", F.explode("z").alias("z")).where("z.column_ids = i")
+    assert itself.where("abs(z.scores - 1) < 1e-5").count() == 4500
+
+
+def test_approximate_search_recall(spark):
+    """Vectors in clusters: bucketed search finds nearly all that exact search finds."""
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(40, 16))
+    rows = [(i, (centers[i % 40] + 0.3 * rng.normal(size=16)).tolist()) for i in range(2000)]
+    store = spark.createDataFrame(rows, "chunk_id long, embedding array<float>")
+    asked = store.where("chunk_id % 20 = 0").select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("query_embedding"))
+    exact = {(r["query_id"], r["chunk_id"]) for r in search.top_k(asked, store, 5).collect()}
+    found = {(r["query_id"], r["chunk_id"]) for r in search.approximate_top_k(asked, store, 5).collect()}
+    assert len(exact & found) >= 0.9 * len(exact)
 
 
 def test_tokenize(spark):

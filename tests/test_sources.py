@@ -77,7 +77,7 @@ def test_splits(spark):
     both = readers.tagged({"train": rows, "test": rows.limit(1)})
     train, test = readers.load_or_split(both, "somewhere", "instruction")
     assert (train.count(), test.count()) == (3, 1) and train.columns == rows.columns
-    with pytest.raises(ValueError, match="Split dev .* somewhere"):
+    with pytest.raises(ValueError, match="somewhere .* dev"):
         readers.load_split(both, "dev", "somewhere")
     numbers = spark.range(50)
     train, test = readers.load_or_split(numbers, "somewhere", "id")
@@ -192,3 +192,36 @@ def test_inference_log_stream(spark, tmp_path):
     unknown = "Unknown category: code not in taxonomy."
     assert counts == {"O1": ("Violence.", 1), "O3": ("Crime planning!", 1), "O9": (unknown, 1)}
     assert moderation.VIOLATION
+
+
+def test_shards_of_many_splits(spark, tmp_path):
+    """More splits than could be listed in a plan, one of them with rows that share a key."""
+    rows = spark.range(3000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("split"))
+    rows = rows.union(spark.range(40).select(F.lit(7).cast("long"), F.lit("hot")))
+    manifest = writers.save_training_shards(rows, str(tmp_path / "shards"), "k", rows_per_shard=10)
+    assert manifest.agg(F.sum("n_rows")).first()[0] == 3040 and manifest.select("split").distinct().count() == 3001
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from promptloom import session
+
+    class Context:
+        master = "yarn"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Conf:
+        get = staticmethod(lambda name, default=None: default)
+
+    class Cluster:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Cluster())
+
+
+def test_failed_verdicts_are_reported(spark):
+    from promptloom.streaming import inference_log
+
+    rows = [(True, None, None, "ok"), (False, "O1", "Violence.", "ok"), (None, None, None, "oom")]
+    log = spark.createDataFrame(rows, "is_safe boolean, code string, category string, status string")
+    assert {tuple(r) for r in inference_log.monitor(log).collect()} == {("O1", "Violence.", 1), ("not judged", "oom", 1)}
