@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +24,6 @@ NATS_PER_BYTE = 0.5
 MIN_MARGIN = 0.01
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
-
-
 def held_out(id_col: str = "doc_id", modulus: int = 5, remainder: int = 0):
     """Rows kept out of learning: the CRC-32 of the id as text leaves ``remainder``. Null ids are not held out."""
     crc = F.crc32(F.col(id_col).cast("string"))
@@ -82,7 +78,7 @@ class Identifier:
 
         The whole text counts, piece by piece. Equal sizes go to the language with more documents.
         """
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0, 0.0
         data = text.lower().encode("utf-8", "replace")
         pieces = [data[at : at + PIECE] for at in range(0, len(data), PIECE)]
