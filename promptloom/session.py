@@ -46,7 +46,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 def run_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; never reused, so reruns cannot collide."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _STAGES.append(path)
+    return path
+
+
+_STAGES: list[str] = []
+
+
+def remove_stages(spark: SparkSession) -> int:
+    """Delete what this process has written through ``run_path``; for when all readers are done."""
+    removed = 0
+    while _STAGES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return removed
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from promptloom.session import get_session  # noqa: E402
+from promptloom.session import get_session, remove_stages  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -25,6 +25,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_stages(session)
     session.stop()
 
 

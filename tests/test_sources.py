@@ -219,6 +219,14 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
         session.shared_dir(Cluster())
 
 
+def test_stages_can_be_removed(spark, monkeypatch):
+    from promptloom import session
+
+    monkeypatch.setattr(session, "_STAGES", [])
+    kept = session.materialize(spark.range(5))
+    assert kept.count() == 5 and session.remove_stages(spark) == 1 and session._STAGES == []
+
+
 def test_failed_verdicts_are_reported(spark):
     from promptloom.streaming import inference_log
 
