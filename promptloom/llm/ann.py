@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import share
 
 #: The tree is fitted on so many vectors at most; it has so many children per node, and levels.
 SAMPLE, BRANCHING, MAX_DEPTH = 40_000, 16, 3
@@ -182,8 +183,8 @@ def nearest(
         "vectors",
     )
     total = distinct.count()
-    share = int(-(1 << 63) + min(1.0, sample / total) * ((1 << 64) - 1))
-    chosen = distinct.where(F.col("v1") <= min(share, (1 << 63) - 1)).select("v1", "v")
+    cutoff = min(int(-(1 << 63) + min(1.0, sample / total) * ((1 << 64) - 1)), (1 << 63) - 1)
+    chosen = distinct.where(F.col("v1") <= cutoff).select("v1", "v")
     depth = min(MAX_DEPTH, max(1, math.ceil(math.log(math.sqrt(total)) / math.log(BRANCHING)))) if total > 1 else 1
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +200,7 @@ def nearest(
         np.array([r.center or [0.0] * lengths[0]["n"] for r in nodes], dtype=np.float64),
         [np.array(r.children, dtype=np.int64) for r in nodes], np.array([r.leaf for r in nodes]),
     )
-    shared = spark.sparkContext.broadcast(tree)  # at most 16 + 256 + 4,096 centers
+    shared = share(spark, tree)  # at most 16 + 256 + 4,096 centers
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -268,7 +269,7 @@ def _calibrated(queries: DataFrame, placed: DataFrame, tree: Tree, k: int, targe
         return tree.leaves
     v1, v2 = (np.array([r[c] for r in some], dtype=np.int64) for c in ("v1", "v2"))
     asks = np.array([r["v"] for r in some], dtype=np.float64)
-    block = placed.sparkSession.sparkContext.broadcast((v1, v2, asks))  # a bounded sample
+    block = share(placed.sparkSession, (v1, v2, asks))  # a bounded sample
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q1, q2, q = block.value

@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def share(spark: SparkSession, value) -> Broadcast:
+    """Broadcast a value whose class is defined in this package.
+
+    Workers look for the package where the driver has found it, unless it was shipped to them.
+    """
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, _ROOT])
+    return spark.sparkContext.broadcast(value)
+
 
 def text_or_empty(text_col: str = "text"):
     """The text as a string column; null counts as empty."""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty
+from .common import share, text_or_empty
 
 #: A dictionary is made of this many sampled documents of a language at most, with so many characters of each.
 SAMPLE_DOCS, SAMPLE_CHARACTERS = 100, 400
@@ -100,7 +100,7 @@ def identify_languages(
     languages drops them. Null texts, texts without a letter, and all texts if nothing was learned, are
     ``und`` with score 0 and rejected. Null ids are kept, repeated rows answer alike.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(content)
+    shared = share(docs.sparkSession, content)
     schema = T.StructType(
         [
             T.StructField(id_col, docs.schema[id_col].dataType),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty
+from .common import share, text_or_empty
 from .license_texts import TEMPLATES
 
 #: Words of a shingle, and the share of a template's shingles that a window must hold.
@@ -190,7 +190,7 @@ def scan_licenses(
     Null and empty texts, and texts or templates under five words, have no shingles and give no rows. Null
     ids are kept; repeated rows give rows each; other columns are ignored.
     """
-    scanner = docs.sparkSession.sparkContext.broadcast(Scanner(templates or TEMPLATES, min_containment))
+    scanner = share(docs.sparkSession, Scanner(templates or TEMPLATES, min_containment))
     id_type = docs.schema[id_col].dataType
     schema = T.StructType(
         [

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty
+from .common import share, text_or_empty
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = range(4)
@@ -230,7 +230,7 @@ def encode_documents(
     """
     vocabulary = load_vocabulary(model_path)
     key = hashlib.sha256(repr(vocabulary[0]).encode()).hexdigest()
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # as large as the model file, whatever the input
+    shared = share(docs.sparkSession, vocabulary)  # as large as the model file, whatever the input
     last = b"" if end_id is None else b"%d" % end_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_key, text_or_empty
+from .common import share, text_key, text_or_empty
 
 #: Size of the feature space, and of the sample of labelled rows that a model is fitted on.
 FEATURE_BITS = 18
@@ -203,8 +203,8 @@ def fit(
     total = known.count()
     if total > max_rows:
         # A threshold of the hash leaves a little more than enough; no task sorts more than that.
-        share = min(1.0, 1.2 * max_rows / total + 0.01)
-        known = known.where(F.col("order") < int(-(1 << 63) + share * ((1 << 64) - 1))) if share < 1 else known
+        portion = min(1.0, 1.2 * max_rows / total + 0.01)
+        known = known.where(F.col("order") < int(-(1 << 63) + portion * ((1 << 64) - 1))) if portion < 1 else known
     chosen = known.orderBy("order", "id").limit(max_rows)
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("text"), text_key(text_col).alias("key"))
     sample = texts.join(F.broadcast(chosen), "id").select("order", "id", "key", "label", "text")
@@ -226,7 +226,7 @@ def fit(
 
 def with_scores(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with a score column; one narrow step, whole texts. Null and empty texts get the bias's score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
