@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.readers import balanced
 from . import ann, decontaminate, langid, licenses, pieces, quality, repeats, shards, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,7 +57,8 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with merge-type pieces, and decoded."""
-    return pieces.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+    docs = balanced(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pieces.encode_documents(docs, tokenizer_path())
 
 
 @register()
@@ -103,4 +105,4 @@ def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in all documents."""
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return licenses.scan_licenses(balanced(table(spark, sf_dir, "documents").select("doc_id", "text")))
