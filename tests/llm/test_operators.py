@@ -366,6 +366,31 @@ def test_benchmark_passages(spark):
     assert got == want and got
 
 
+def test_copies_of_sums_and_lists(spark):
+    """Windows of placeholders alone match by their values: verbatim copies are found, other values are not."""
+    items = {
+        1: "Compute 3 + 5 + 7 + 9 + 11 + 13",
+        2: "What is 12 + 6 * 234 - 111 / 7 + 88?",
+        3: "The Lord Of The Rings Was Written By John Ronald Reuel Tolkien",
+    }
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    texts = {
+        1: f"Some words. {items[1]} and more of them.",
+        2: f"Then, as they asked: {items[2]} Nobody knew.",
+        3: f"As we read, {items[3]}, and so on.",
+        4: f"it says {items[3].lower()} in small letters",
+        5: "Compute 4 + 6 + 8 + 10 + 12 + 14 and 3 + 5 + 7",
+        6: "What is 13 + 6 * 235 - 111 / 8 + 88?",
+        7: "The King Of The Hills Was Painted By Mary Ann Sue Miller",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for options in ({}, {"windows_per_block": 3}):
+        got = {(r["doc_id"], r["item_id"], r["coverage"], r["n_changed"]) for r in decontaminate.leaks(docs, bench, **options).collect()}
+        assert {x[:2] for x in got} == {(1, 1), (2, 2), (3, 3), (4, 3)}
+        assert all(x[2:] == (1.0, 0) for x in got)
+    assert [r["doc_id"] for r in decontaminate.without_leaks(docs, bench).orderBy("doc_id").collect()] == [5, 6, 7]
+
+
 def test_decontamination_is_native(spark, docs):
     plan = decontaminate.leaks(docs, spark.read.parquet(f"{SMALL}/benchmark.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
