@@ -22,6 +22,8 @@ SAMPLE, BRANCHING, MAX_DEPTH = 40_000, 16, 3
 CALIBRATION, TARGET_RECALL = 256, 0.98
 #: Candidates and queries of one leaf that meet in one task; more are dealt out in parts.
 CANDIDATES_AT_ONCE, QUERIES_AT_ONCE = 20_000, 4_000
+#: Products held at a time, and vector elements of the pairs whose cosines are computed one by one.
+PRODUCTS_AT_ONCE, ELEMENTS_AT_ONCE = 1 << 21, 1 << 22
 
 
 @dataclass(frozen=True)
@@ -105,26 +107,54 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors times a power of two, which changes no bit of a cosine: one direction at lengths 1, 2, 4 ... becomes one vector."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1))
+    return np.ldexp(vectors, -exponent[:, None]) + 0.0
+
+
+def _smallest_of_each(vectors: np.ndarray, first_ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k smallest first ids of every distinct vector."""
+    rows = np.ascontiguousarray(vectors)
+    _, group = np.unique(rows.view(f"V{rows.itemsize * rows.shape[1]}").ravel(), return_inverse=True)
+    order = np.lexsort((first_ids, group))
+    return np.sort(order[_place(group[order]) < k])
+
+
+def _place(sorted_keys: np.ndarray) -> np.ndarray:
+    """The number of each row within its run of equal keys."""
+    first = np.r_[0, np.flatnonzero(np.diff(sorted_keys)) + 1]
+    return np.arange(len(sorted_keys)) - np.repeat(first, np.diff(np.r_[first, len(sorted_keys)]))
+
+
 def _best(queries: np.ndarray, candidates: np.ndarray, first_ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """``query, candidate, score`` of the k nearest of each query: by cosine, then by the smaller first id.
 
-    A matrix product of unit vectors selects a few more, whose cosines are then computed one by one
-    on the vectors as they are.
+    A matrix product of unit vectors gives the floor that the k-th best reaches. The cosines of all candidates
+    within rounding of it are then computed one by one, so no tie is cut before ids decide. Of
+    candidates that differ by a power of two only, k are enough.
     """
-    few = min(k + 4, len(candidates))
+    queries, candidates = _scaled(queries), _scaled(candidates)
+    kept = _smallest_of_each(candidates, first_ids, k)
+    candidates, first_ids = candidates[kept], first_ids[kept]
+    few = min(k, len(candidates))
     q_unit, c_unit = _unit(queries), _unit(candidates)
+    q_norm, c_norm = (np.sqrt((v * v).sum(axis=1)) for v in (queries, candidates))
+    rounding = (8 * queries.shape[1] + 32) * np.finfo(np.float64).eps
+    slab, pairs = max(1, min(256, PRODUCTS_AT_ONCE // len(candidates))), max(1, ELEMENTS_AT_ONCE // queries.shape[1])
     out = []
-    for at in range(0, len(queries), 256):
-        near = q_unit[at : at + 256] @ c_unit.T
-        chosen = np.argpartition(-near, few - 1, axis=1)[:, :few] if few < len(candidates) else np.tile(np.arange(few), (len(near), 1))
-        rows = np.repeat(np.arange(at, at + len(near)), few)
-        cols = chosen.ravel()
-        a, b = queries[rows], candidates[cols]
-        score = (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
+    for at in range(0, len(queries), slab):
+        near = q_unit[at : at + slab] @ c_unit.T
+        floor = np.partition(near, len(candidates) - few, axis=1)[:, len(candidates) - few]
+        rows, cols = np.nonzero(near >= (floor - rounding)[:, None])
+        rows += at
+        score = np.empty(len(rows))
+        for start in range(0, len(rows), pairs):
+            some = slice(start, start + pairs)
+            score[some] = (queries[rows[some]] * candidates[cols[some]]).sum(axis=1) / (q_norm[rows[some]] * c_norm[cols[some]])
         order = np.lexsort((first_ids[cols], -score, rows))
-        rows, cols, score = rows[order], cols[order], score[order]
-        keep = np.arange(len(rows)) % few < k
-        out.append((rows[keep], cols[keep], score[keep]))
+        order = order[_place(rows[order]) < k]
+        out.append((rows[order], kept[cols[order]], score[order]))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 

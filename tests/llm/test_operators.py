@@ -288,6 +288,28 @@ def test_equal_vectors_and_ties(spark):
         assert all(s == pytest.approx(exact[i], abs=1e-12) for _, i, s in found)
 
 
+def test_ties_of_differing_vectors(spark):
+    """Many distinct vectors tie with the last places: the smallest ids win, in any order of the rows."""
+    rng = np.random.default_rng(3)
+    scaled = np.ldexp(np.array([1.0, 2.0, 3.0]), rng.permutation(60)[:, None] - 30)
+    binary = np.array([[i >> b & 1 for b in range(10)] for i in range(1, 1024)], float)
+    int8 = np.unique(rng.integers(-2, 3, (1500, 4)), axis=0).astype(float)
+    int8 = int8[np.abs(int8).max(axis=1) > 0]
+    for vectors in (scaled, binary, int8):
+        rows = list(zip(rng.permutation(len(vectors)).tolist(), vectors.tolist()))
+        ids = np.array([r[0] for r in rows])
+        for query, want in exact_neighbours(rows, k=6, every=7).items():
+            asked = vectors[ids == query]
+            others = np.flatnonzero(ids != query)
+            _, cols, score = ann._best(asked, vectors[others], ids[others], 6)
+            assert list(zip(ids[others][cols].tolist(), score)) == want
+    rows = [(i, v) for i, v in enumerate(scaled.tolist())]
+    rng.shuffle(rows)
+    found = ann.nearest(spark.createDataFrame([(int(i), list(v)) for i, v in rows], "vec_id long, embedding array<double>"))
+    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in found.collect()}
+    assert [got[0, k] for k in range(1, 6)] == [1, 2, 3, 4, 5] and [got[50, k] for k in range(1, 6)] == [0, 1, 2, 3, 4]
+
+
 def test_all_leaves_find_everything():
     rng = np.random.default_rng(2)
     unit = ann._unit(rng.normal(size=(2000, 8)))
