@@ -388,6 +388,17 @@ def test_benchmark_passages(spark):
     assert got == want and got
 
 
+def test_redrawn_values_may_be_equal(spark):
+    """Two numbers or units of an item that became one value by chance are no clash."""
+    bench = spark.createDataFrame([(1, QUESTION), (2, "The bar is 30 cm long and the rope is 2 km long, so which one is longer and why?")], "item_id long, text string")
+    texts = {
+        1: "x. Carol has 30 apples and gives Dave 7 apples. How many km does Carol walk after 30 days if it is 7 miles away? and more",
+        2: "ok. The bar is 40 mm long and the rope is 40 mm long, so which one is longer and why?",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()} == {(1, 1), (2, 2)}
+
+
 def test_copies_of_sums_and_lists(spark):
     """Windows of placeholders alone match by their values: verbatim copies are found, other values are not."""
     items = {
