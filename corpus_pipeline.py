@@ -34,8 +34,12 @@ def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded text, with an end id."""
-    return pieces.encode_documents(docs, tokenizer_path())
+    """Token counts, digests of ids and decoded text, and ``ids``, the encoded text with an end id.
+
+    The ids stand in one string with spaces between, the bytes that ``ids_sha256`` is the digest of.
+    """
+    found = pieces.encode_documents(docs, tokenizer_path(), with_ids=True)
+    return found.withColumn("ids", F.array_join("ids", " "))
 
 
 STAGES = [

@@ -1,5 +1,6 @@
 """The pipeline, stage by stage, against brute force over what each stage was given."""
 
+import hashlib
 from collections import defaultdict
 
 import numpy as np
@@ -57,3 +58,13 @@ def test_stages(spark):
 
     whole = {tuple(r) for r in corpus_pipeline.run(spark, SF).collect()}
     assert whole == {tuple(r) for r in rows["pieces"].values()}
+
+
+def test_product_holds_the_encoded_texts(spark):
+    docs = spark.createDataFrame([(1, "Some plain words, é日本."), (2, None), (None, "")], "doc_id long, text string")
+    library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path())
+    rows = {r["doc_id"]: r for r in corpus_pipeline.encoded(spark, docs, SF).collect()}
+    for i, text in {1: "Some plain words, é日本.", 2: "", None: ""}.items():
+        ids = [int(x) for x in rows[i]["ids"].split(" ")]
+        assert ids == library.encode(text) + [2] and len(ids) == rows[i]["n_tokens"]
+        assert hashlib.sha256(rows[i]["ids"].encode()).hexdigest() == rows[i]["ids_sha256"]
