@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -101,3 +101,37 @@ def components(edges: DataFrame) -> DataFrame:
         now = materialize(rest.union(least).distinct(), "small-star")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
+
+
+def ranged(df: DataFrame, *order: str, part: str = "part") -> DataFrame:
+    """The rows written in range partitions by ``order`` (nulls first), each with the number of its partition.
+
+    Partition numbers ascend with the order. A tag that no two rows share comes last in the order, so copies
+    of one row spread over partitions like any others. The frame is computed once: it is written before Spark
+    samples it for the bounds, and again with the partition numbers, which may differ from one run to the next.
+    """
+    tagged = materialize(df.withColumn("tag", F.monotonically_increasing_id()), "tagged")
+    dealt = tagged.repartitionByRange(*[F.col(c).asc() for c in (*order, "tag")])
+    return materialize(dealt.withColumn(part, F.spark_partition_id()), "ranged")
+
+
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str = "pos") -> DataFrame:
+    """Rows with their place (from 0) in their group; a group of any size is numbered by many tasks.
+
+    Rows are numbered inside range partitions of (group, order). Of a partition only its first group can have
+    begun in an earlier one, so at most one offset per partition is broadcast. Null keys form a group.
+    ``tag`` and ``part`` are the helper's own columns and don't come out.
+    """
+    rows = ranged(df, *group, *order)
+    counts = rows.groupBy("part", *group).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("start", F.sum("n").over(earlier)).where("start > 0")
+    starts = starts.select(F.col("part").alias("in_part"), *[F.col(g).alias(f"of_{g}") for g in group], "start")
+    same = F.col("part") == F.col("in_part")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"of_{g}"))
+    within = Window.partitionBy("part", *group).orderBy(*order, "tag")
+    placed = rows.withColumn(name, F.row_number().over(within) - 1)
+    placed = placed.join(F.broadcast(starts), same, "left")
+    placed = placed.withColumn(name, (F.col(name) + F.coalesce("start", F.lit(0))).cast("long"))
+    return placed.drop("tag", "part", "in_part", "start", *[f"of_{g}" for g in group])

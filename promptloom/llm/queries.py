@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.readers import balanced
-from . import ann, decontaminate, langid, licenses, pieces, quality, repeats, shards, simhash, warc
+from . import ann, decontaminate, langid, licenses, merkle, pieces, quality, repeats, shards, simhash, sketches, trie, warc
+from .tree_sql import merkle_sql, trie_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +107,21 @@ def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in all documents."""
     return licenses.scan_licenses(balanced(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@register()
+def op11_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and what peeling their differences says."""
+    return sketches.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@register(trie_sql())
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations with sums over its subtrees."""
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@register(merkle_sql())
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle leaves, roots and proofs of all documents, checked after tampering."""
+    return merkle.verify_documents(table(spark, sf_dir, "documents"))
