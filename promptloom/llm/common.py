@@ -42,7 +42,8 @@ def runs(batches: Iterator[pa.RecordBatch], key: int = 0, limit: int = 1 << 62)
     """Cut a stream sorted by column ``key`` into whole runs of equal keys.
 
     Yields ``(columns, open)``: numpy arrays of one or more whole runs, or, where a single run grows
-    over ``limit`` rows, pieces of that run with ``open`` set, so that no run is ever held whole.
+    over ``limit`` rows, pieces of that run with ``open`` set: the part of it that a batch holds, so no run
+    that spans many batches is ever held whole.
     """
     kept: list = []  # rows of the run that may go on in the next batch
     streaming = None  # the key of a run that is passed on in pieces
@@ -60,7 +61,7 @@ def runs(batches: Iterator[pa.RecordBatch], key: int = 0, limit: int = 1 << 62)
         columns = [np.concatenate([a, b]) for a, b in zip(kept, new)] if kept else new
         last = int(np.searchsorted(columns[key], columns[key][-1]))
         if last:
-            yield [c[:last] for c in columns], False
+            yield from _closed([c[:last] for c in columns], key, limit)
         kept = [c[last:] for c in columns]
         if len(kept[key]) > limit:
             streaming = kept[key][0]
@@ -70,6 +71,17 @@ def runs(batches: Iterator[pa.RecordBatch], key: int = 0, limit: int = 1 << 62)
         yield kept, False
 
 
+def _closed(columns: list, key: int, limit: int) -> Iterator[tuple[list, bool]]:
+    """Whole runs; those over the limit one by one, as pieces of an open run are."""
+    starts = np.r_[0, np.flatnonzero(columns[key][1:] != columns[key][:-1]) + 1]
+    sizes = np.diff(np.r_[starts, len(columns[key])])
+    large = np.repeat(sizes > limit, sizes)
+    if not large.all():
+        yield [c[~large] for c in columns] if large.any() else columns, False
+    for k in np.flatnonzero(sizes > limit):
+        yield [c[starts[k] : starts[k] + sizes[k]] for c in columns], True
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of the edges ``(a, b)``; the root is the smallest node reachable.
 
