@@ -325,7 +325,8 @@ def _extend_by_offset(left: list[bytes], right: list[bytes], length: int) -> lis
     return [None if f < 0 else (int(f), int(length - i)) for f, i in zip(far, near)]
 
 
-_CONTEXT = "gram long, t1 long, place long, settled boolean, bytes binary"
+#: ``twice``: the text stands in two documents, which only different pieces of a crowded run don't know yet.
+_CONTEXT = "gram long, t1 long, place long, settled boolean, twice boolean, bytes binary"
 
 
 def _fetch(length: int):
@@ -340,10 +341,14 @@ def _fetch(length: int):
                     continue
                 if len(seen) < 100_000:
                     seen.add((t1, t2))
+                once: dict = {}
                 for one in asked:
-                    place = one["place"]
+                    place = one["gram"], one["place"]
+                    settled, _ = once.get(place, (False, False))
+                    once[place] = settled or one["settled"], place in once
+                for (gram, place), known in once.items():
                     at, high, low = place >> 32, place >> 24 & 255, place >> 16 & 255
-                    rows.append((one["gram"], t1, place, one["settled"], text[at - high : at - low + length]))
+                    rows.append((gram, t1, place, *known, text[at - high : at - low + length]))
             if rows:
                 yield _batch_of(list(zip(*rows)), _CONTEXT)
 
@@ -358,10 +363,10 @@ def _compare(length: int, limit: int):
     """Over contexts sorted by gram: the spans of the repeats in each bucket."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (gram, t1, place, settled, content), crowded in runs(batches, 0, limit):
+        for (gram, t1, place, settled, twice, content), crowded in runs(batches, 0, limit):
             out: list[tuple] = []
             if crowded:
-                for key, p, known, text in zip(t1.tolist(), place.tolist(), settled.tolist(), content):
+                for key, p, known, text in zip(t1.tolist(), place.tolist(), (settled | twice).tolist(), content):
                     start = (p >> 32) - (p >> 24 & 255)
                     for k in range(len(text) - length + 1):
                         digest = hashlib.blake2b(text[k : k + length], digest_size=16).digest()
@@ -372,10 +377,10 @@ def _compare(length: int, limit: int):
                 for a, b in zip(starts, np.r_[starts[1:], len(gram)]):
                     distinct: dict = {}
                     for k in range(a, b):
-                        distinct.setdefault((content[k], int(place[k]) >> 24 & 255), {})[(int(t1[k]), int(place[k]))] = bool(settled[k])
+                        distinct.setdefault((content[k], int(place[k]) >> 24 & 255), {})[(int(t1[k]), int(place[k]))] = bool(twice[k])
                     found = extend(list(distinct), length) if len(distinct) > 1 else [None]
                     for (text, at), owners, reach in zip(distinct, distinct.values(), found):
-                        if len(owners) > 1:  # one context in two places
+                        if len(owners) > 1 or any(owners.values()):  # one context in two places
                             reach = (at, len(text) - at)
                         if reach:
                             for key, p in owners:
