@@ -7,6 +7,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from sys import getsizeof
 
 import ahocorasick
 import pyarrow as pa
@@ -18,27 +19,30 @@ from .common import share, text_or_empty
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = range(4)
-#: Words that a worker remembers, and pairs of tokens; older ones make room.
-WORDS_KEPT, PAIRS_KEPT = 500_000, 500_000
+#: Bytes of words, and of pairs of tokens, that a worker remembers in each table; older ones make room.
+WORDS_KEPT, PAIRS_KEPT = 24 << 20, 24 << 20
+#: Bytes of ids in one batch of results.
+IDS_AT_ONCE = 4 << 20
 #: Words of a line with the spaces before them.
 WORD = re.compile(r" *[^ ]+| +")
 
 
 class Memory(dict):
-    """A dictionary that computes missing values and keeps the last one to two times ``size`` of them."""
+    """A dictionary that computes missing values and keeps the last ones, of up to two times ``size`` bytes."""
 
     def __init__(self, compute, size: int):
         super().__init__()
-        self.compute, self.size, self.older = compute, size, {}
+        self.compute, self.size, self.older, self.used = compute, size, {}, 0
 
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
-        if len(self) >= self.size:
-            self.older = dict(self)
+        if self.used >= self.size:
+            self.older, self.used = dict(self), 0
             self.clear()
         self[key] = value
+        self.used += 100 + getsizeof(key) + getsizeof(value)
         return value
 
 
@@ -221,7 +225,8 @@ def encode_documents(
     docs: DataFrame, model_path: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text",
     with_ids: bool = False,
 ) -> DataFrame:
-    """``id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``): one row per row of ``docs``, no shuffle.
+    """``id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``, decimals with spaces between): one row per row
+    of ``docs``, no shuffle.
 
     Encodes whole texts exactly as the sentencepiece library does, appends ``end_id``, and decodes
     the ids again. A word (with the spaces before it) is encoded on its own, which is exact since no
@@ -236,8 +241,14 @@ def encode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces_of(key, shared)
         for batch in batches:
-            counts, ids_digests, text_digests, all_ids = [], [], [], []
-            for text in batch.column(1):
+            counts, ids_digests, text_digests, all_ids, held, begin = [], [], [], [], 0, 0
+
+            def result(end: int) -> pa.RecordBatch:
+                columns = [batch.column(0).slice(begin, end - begin), pa.array(counts, pa.int64())]
+                columns += [pa.array(c, pa.string()) for c in (ids_digests, text_digests, *([all_ids] * with_ids))]
+                return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+            for k, text in enumerate(batch.column(1)):
                 words = pieces.encode_words(text.as_py())
                 ids = b"".join(words) + last
                 if end_id is None:
@@ -247,11 +258,12 @@ def encode_documents(
                 ids_digests.append(hashlib.sha256(ids).hexdigest())
                 text_digests.append(hashlib.sha256(decoded.removeprefix(b" ")).hexdigest())
                 if with_ids:
-                    all_ids.append([int(i) for i in ids.split()])
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string())]
-            if with_ids:
-                columns.append(pa.array(all_ids, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+                    all_ids.append(ids)
+                    held += len(ids)
+                    if held >= IDS_AT_ONCE:
+                        yield result(k + 1)
+                        counts, ids_digests, text_digests, all_ids, held, begin = [], [], [], [], 0, k + 1
+            yield result(batch.num_rows)
 
     schema = T.StructType(
         [
@@ -260,6 +272,6 @@ def encode_documents(
             T.StructField("ids_sha256", T.StringType()),
             T.StructField("decoded_sha256", T.StringType()),
         ]
-        + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids
+        + [T.StructField("ids", T.StringType())] * with_ids
     )
     return docs.select(F.col(id_col), text_or_empty(text_col).alias("text")).mapInArrow(run, schema)
