@@ -38,8 +38,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The ids stand in one string with spaces between, the bytes that ``ids_sha256`` is the digest of.
     """
-    found = pieces.encode_documents(docs, tokenizer_path(), with_ids=True)
-    return found.withColumn("ids", F.array_join("ids", " "))
+    return pieces.encode_documents(docs, tokenizer_path(), with_ids=True)
 
 
 STAGES = [
