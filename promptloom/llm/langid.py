@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 
 from .common import share, text_or_empty
 
-#: A dictionary is made of this many sampled documents of a language at most, with so many characters of each.
-SAMPLE_DOCS, SAMPLE_CHARACTERS = 100, 400
+#: A dictionary is made of this many sampled documents of a language at most, with so many characters of each,
+#: in stretches that are spread over the whole text. Languages that are learned, the most frequent ones.
+SAMPLE_DOCS, SAMPLE_CHARACTERS, STRETCH = 100, 400, 80
+MAX_LANGUAGES = 256
 #: Texts are compressed in pieces of so many bytes, so that a piece finds the dictionary, not only itself.
 PIECE = 4_096
 LEVEL = 6
@@ -24,6 +26,7 @@ NATS_PER_BYTE = 0.5
 MIN_MARGIN = 0.01
 UNDETERMINED = "und"
 
+
 def held_out(id_col: str = "doc_id", modulus: int = 5, remainder: int = 0):
     """Rows kept out of learning: the CRC-32 of the id as text leaves ``remainder``. Null ids are not held out."""
     crc = F.crc32(F.col(id_col).cast("string"))
@@ -36,27 +39,39 @@ def dictionaries(
 ) -> dict[str, bytes]:
     """Raw dictionary content by language, most frequent language first.
 
-    From a bounded sample: a threshold on a hash of the id lets about ``per_language`` documents of
-    each language through, of which the first by hash give ``characters`` each. The counts per
-    language and the dictionaries (40 KB each) are what reaches the driver; they grow with the
-    number of languages only.
+    From a bounded sample: a threshold on a hash of the text lets about ``per_language`` distinct texts of
+    each language through, of which the first by hash give ``characters`` each: stretches of 80, one from a
+    random place of each fifth of the text, so openings that texts share don't fill a dictionary. At most
+    ``MAX_LANGUAGES`` languages are learned (the most frequent; texts of others get one of those). Counts
+    and dictionaries (40 KB each) of these are what reaches the driver.
     """
+    place = F.xxhash64(F.lit(5), text_or_empty(text_col))
     rows = docs.select(
         F.col(lang_col).cast("string").alias("lang"), F.lower(text_or_empty(text_col)).alias("text"),
-        F.xxhash64(F.col(id_col), text_or_empty(text_col)).alias("order"), held_out(id_col).alias("out"),
+        place.alias("order"), held_out(id_col).alias("out"),
     ).where("lang is not null and not out and text != ''")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    frequent = rows.groupBy("lang").agg(F.approx_count_distinct("order").alias("texts"), F.count(F.lit(1)).alias("n"))
+    frequent = frequent.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = {r["lang"]: r["texts"] for r in frequent}
     if not counts:
         return {}
     limits = [(lang, int(-(1 << 63) + min(1.0, 1.5 * per_language / n) * ((1 << 64) - 1))) for lang, n in counts.items()]
     limits = [(lang, min(limit, (1 << 63) - 1)) for lang, limit in limits]
     limit = F.create_map(*(F.lit(x) for pair in limits for x in pair))[F.col("lang")]
-    sample = rows.where(F.col("order") <= limit).select("lang", "order", F.substring("text", 1, characters).alias("text"))
+    n = max(1, characters // STRETCH)
+    step = (F.length("text") - STRETCH) / n
+    stretches = F.transform(
+        F.sequence(F.lit(0), F.lit(n - 1)),
+        lambda i: F.substring(
+            F.col("text"), F.floor((i + F.pmod(F.xxhash64("order", i), F.lit(1000)) / 1000) * step).cast("int") + 1, F.lit(STRETCH)
+        ),
+    )
+    spread = F.when(F.length("text") <= characters, F.col("text")).otherwise(F.array_join(stretches, "\n"))
+    sample = rows.where(F.col("order") <= limit).groupBy("lang", "order").agg(F.first(spread).alias("text"))
     found: dict[str, list] = {lang: [] for lang in counts}
     for lang, order, text in sample.collect():
         found[lang].append((order, text))
-    by_size = sorted(counts, key=lambda lang: (-counts[lang], lang))
-    return {lang: "\n".join(t for _, t in sorted(found[lang])[:per_language]).encode() for lang in by_size}
+    return {r["lang"]: "\n".join(t for _, t in sorted(found[r["lang"]])[:per_language]).encode() for r in frequent}
 
 
 class Identifier:
