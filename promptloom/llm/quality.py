@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,7 @@ from .common import share, text_key, text_or_empty
 #: Size of the feature space, and of the sample of labelled rows that a model is fitted on.
 FEATURE_BITS = 18
 MAX_TRAINING_ROWS = 4_000
+MAX_TRAINING_BYTES = 64 << 20
 EPOCHS = 4
 #: FTRL-proximal: learning rate, its smoothing, and the two regularisations.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
@@ -188,11 +189,11 @@ def held_out(id_col: str = "doc_id", modulus: int = 4, remainder: int = 2):
 
 def fit(
     docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text",
-    max_rows: int = MAX_TRAINING_ROWS,
+    max_rows: int = MAX_TRAINING_ROWS, max_bytes: int = MAX_TRAINING_BYTES,
 ) -> Model:
     """A model from at most ``max_rows`` labelled documents that are not held out, chosen by a hash of the id.
 
-    An id with several labels counts with the largest. Training is one task over that bounded sample;
+    Texts of one id that are equal count once, and learning ends with the text that passes ``max_bytes``. An id with several labels counts with the largest. Training is one task over that bounded sample;
     the weights (1 MB) come back to the driver. Without labelled rows the model scores 1 everywhere.
     """
     known = (
@@ -208,6 +209,14 @@ def fit(
     chosen = known.orderBy("order", "id").limit(max_rows)
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("text"), text_key(text_col).alias("key"))
     sample = texts.join(F.broadcast(chosen), "id").select("order", "id", "key", "label", "text")
+    # An id may stand for any number of rows: equal ones count once, and the bound holds for rows and bytes.
+    met = sample.groupBy("order", "id", "key").agg(F.max(F.octet_length("text")).alias("bytes")).orderBy("order", "id", "key")
+    met = met.limit(max_rows).withColumn(
+        "upto", F.sum("bytes").over(Window.orderBy("order", "id", "key").rowsBetween(Window.unboundedPreceding, -1))
+    )
+    met = met.where(F.coalesce("upto", F.lit(0)) < max_bytes).select("order", "id", "key")
+    sample = sample.join(F.broadcast(met), ["order", "id", "key"]).dropDuplicates(["order", "id", "key"])
+    sample = sample.select("order", "id", "key", "label", "text")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, labels = [], []
