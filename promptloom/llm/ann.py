@@ -104,6 +104,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; scaled first, so that squares of tiny and of huge numbers neither vanish nor overflow."""
+    vectors = _scaled(vectors) if len(vectors) else vectors
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
@@ -189,7 +191,8 @@ def nearest(
     Equal vectors are one candidate with their k + 1 smallest ids, and one query, so a vector that a
     third of the rows share costs no more than any other, and no result is lost. Rows with a null id or
     a null, zero, or non-finite vector, or one of another length than most, take no part. An id that comes
-    twice with one vector counts once. With fewer candidates than ``k`` all are returned; ties go to the
+    twice with one vector counts once; with two vectors, it is a candidate and a query with both, its best cosine
+    counting on either side. With fewer candidates than ``k`` all are returned; ties go to the
     smaller id; a query is never its own neighbour.
     """
     spark = vectors.sparkSession
@@ -280,9 +283,10 @@ def nearest(
         .applyInPandas(compare, _HITS)
     )
     best = _top(hits, k + 1)
-    own = Window.partitionBy("query_id").orderBy("place")
+    own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         asked.join(best, ["v1", "v2"]).where("query_id != vec_id")
+        .groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         .withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
