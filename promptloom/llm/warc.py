@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..session import materialize, run_path
 
 MAGIC = "WARC/1.0\r\n"
+#: What records of versions 1.0 and 1.1 begin with; archives are cut there when read.
+SEPARATOR = "WARC/1."
 BREAK = "\r\n\r\n"
 #: Payloads below this size are stored whole each time.
 MIN_REVISIT_BYTES = 100
@@ -56,7 +58,7 @@ def write_archives(
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """``file, block, seq, value``: the bytes between magics, in file order by (block, seq)."""
-    return spark.read.option("lineSep", MAGIC).text(path).select(
+    return spark.read.option("lineSep", SEPARATOR).text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
@@ -74,18 +76,18 @@ def _with_offsets(rows: DataFrame) -> DataFrame:
     Pieces and magics tile a file, so offsets are running sums: inside each input split, plus the
     sums of the splits before. No window is larger than a split.
     """
-    length = F.col("piece_bytes") + F.lit(len(MAGIC))
+    length = F.col("piece_bytes") + F.lit(len(SEPARATOR))
     blocks = rows.groupBy("file", "block").agg(F.sum(length).alias("block_bytes"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("file")
     blocks = blocks.select(
         "file", "block", F.coalesce(F.sum("block_bytes").over(before), F.lit(0)).alias("base"),
-        (F.sum("block_bytes").over(whole) - len(MAGIC)).alias("size"),
+        (F.sum("block_bytes").over(whole) - len(SEPARATOR)).alias("size"),
     )
     inside = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     within = rows.withColumn("inside", F.coalesce(F.sum(length).over(inside), F.lit(0)))
     return within.join(blocks, ["file", "block"]).withColumn(
-        "at", F.col("base") + F.col("inside") - len(MAGIC)
+        "at", F.col("base") + F.col("inside") - len(SEPARATOR)
     ).drop("base", "inside")
 
 
@@ -120,16 +122,17 @@ def read_archives(spark: SparkSession, path: str, payload: bool = False) -> Data
     their file are records, so magics and whole records inside payloads are rejected. ``payload``
     adds the bytes. A record cut off by the end of its file is left out; a damaged chain ends there.
     Digests are computed while the archive is scanned; payloads are shuffled only for records that
-    hold a magic themselves, which are put together from their pieces in a second scan.
+    hold a magic themselves, which are put together from their pieces in a second scan. Versions 1.0 and 1.1 are
+    read, and lengths of any number of digits; a folder of empty files gives no rows.
     """
     raw = F.col("value").cast("binary")
     head = F.substring_index("value", BREAK, 1)
     body_at = F.octet_length("head") + len(BREAK)
-    body = F.substring(raw, body_at + 1, F.col("length"))
+    body = F.substring(raw, body_at + 1, F.least("length", F.lit((1 << 31) - 1)).cast("int"))
     first = (
         _pieces(spark, path)
-        .withColumn("head", F.when(F.instr("value", BREAK) > 0, head))
-        .withColumn("length", F.regexp_extract("head", r"(?im)^Content-Length:[ \t]*(\d{1,9})[ \t]*$", 1).try_cast("int"))
+        .withColumn("head", F.when((F.instr("value", BREAK) > 0) & head.rlike(r"^[01]\r\n"), head))
+        .withColumn("length", F.regexp_extract("head", r"(?im)^Content-Length:[ \t]*(\d+)[ \t]*$", 1).try_cast("long"))
         .withColumn("piece_bytes", F.octet_length("value").cast("long"))
         .withColumn("whole", F.col("piece_bytes") >= body_at + F.col("length"))
         .select(
@@ -146,7 +149,7 @@ def read_archives(spark: SparkSession, path: str, payload: bool = False) -> Data
         )
     )
     placed = materialize(_with_offsets(materialize(first, "pieces")), "placed")
-    after = F.col("at") + len(MAGIC) + F.col("body_at") + F.col("payload_bytes")
+    after = F.col("at") + len(SEPARATOR) + F.col("body_at") + F.col("payload_bytes")
     candidates = placed.where("at >= 0 and payload_bytes is not null").withColumn("end", after).where("end <= size")
     chain = reachable(candidates.select("file", "at", (F.col("end") + len(BREAK)).alias("next")))
     records = candidates.join(chain, ["file", "at"])
@@ -174,7 +177,7 @@ def read_archives(spark: SparkSession, path: str, payload: bool = False) -> Data
         again.join(owners, ["file", "block", "seq"])
         .groupBy("file", F.col("start").alias("at"))
         .agg(F.array_sort(F.collect_list(F.struct(F.col("at").alias("o"), "value"))).alias("parts"))
-        .select("file", "at", F.concat_ws(MAGIC, "parts.value").cast("binary").alias("raw"))
+        .select("file", "at", F.concat_ws(SEPARATOR, "parts.value").cast("binary").alias("raw"))
     )
     joined = split.drop("payload_digest", "payload").join(whole, ["file", "at"]).withColumn(
         "payload", F.substring("raw", (F.col("body_at") + 1).cast("int"), F.col("payload_bytes").cast("int"))
