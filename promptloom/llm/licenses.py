@@ -118,7 +118,7 @@ class Scanner:
         return x ^ (x >> np.uint64(32))
 
     def scan(self, texts: list[str]) -> Iterator[tuple[int, str, float, int, int]]:
-        """``(text, template, containment, first word, words)``: the best window of each template found."""
+        """``(text, template, containment, first word, words)`` of every place where a template is found."""
         at, group, size = 0, [], 0
         for k, text in enumerate(texts):
             group.append(shingles(words_of(text)))
@@ -159,7 +159,7 @@ class Scanner:
                 for w in hits.tolist():
                     for t in np.flatnonzero(g.minima[:, k] == window[w]).tolist():
                         seen.add((w, t))
-        best: dict = {}
+        found: dict = {}
         for g, (owner, edge, _, _), seen in zip(self.groups, layout, met):
             for w, t in seen:
                 doc, first = int(owner[w]), int(edge[w])
@@ -169,26 +169,38 @@ class Scanner:
                 if share >= self.min_containment:
                     places = np.flatnonzero(held)
                     word = first - int(starts[doc]) + int(places[0])
-                    row = (-share, word, int(places[-1] - places[0]) + SHINGLE)
-                    best[doc, g.names[t]] = min(best.get((doc, g.names[t]), row), row)
-        for (doc, name), (share, word, n) in sorted(best.items()):
-            yield doc, name, -share, word, n
+                    found.setdefault((doc, g.names[t]), []).append((word, word + int(places[-1] - places[0]) + SHINGLE, share))
+        for (doc, name), spans in sorted(found.items()):
+            for word, end, share in _merged(spans):
+                yield doc, name, share, word, end - word
+
+
+def _merged(spans: list[tuple[int, int, float]]) -> list[tuple[int, int, float]]:
+    """Spans of words without overlaps, each with the best share of those it is made of."""
+    out: list[tuple[int, int, float]] = []
+    for begin, end, share in sorted(spans):
+        if out and begin < out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], end), max(out[-1][2], share))
+        else:
+            out.append((begin, end, share))
+    return out
 
 
 def scan_licenses(
     docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text",
     min_containment: float = MIN_CONTAINMENT,
 ) -> DataFrame:
-    """``id, license, containment, first_word, n_words`` of every template found in every row.
+    """``id, license, containment, first_word, n_words`` of every place of every template in every row.
 
     Whole texts are cut into windows of one and a half times a template's size class, each half a class
     after the last, so every place of a template lies within one window. Windows that share a band with a
     template are compared with it: the share of the template's five-word shingles that the window
-    holds must reach ``min_containment``. Templates travel to the tasks (a parameter of bounded size);
+    holds must reach ``min_containment``. Overlapping windows of one template are one place, so a text that holds a
+    notice several times has a row for each; ``best_of_each`` keeps one per row and template. Templates travel to the tasks (a parameter of bounded size);
     texts stay in their task, nothing is shuffled.
 
-    Null and empty texts, and texts or templates under five words, have no shingles and give no rows. Null
-    ids are kept; repeated rows give rows each; other columns are ignored.
+    Null and empty texts, and texts or templates under five words, have no shingles and give no rows, as does
+    an empty table. Null ids are kept; repeated rows give rows each; other columns are ignored.
     """
     scanner = share(docs.sparkSession, Scanner(templates or TEMPLATES, min_containment))
     id_type = docs.schema[id_col].dataType
@@ -211,3 +223,10 @@ def scan_licenses(
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.select(F.col(id_col), text_or_empty(text_col).alias("text")).mapInArrow(run, schema)
+
+
+def best_of_each(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row per id and license: the place with the largest share of the template, the first of equal ones."""
+    place = F.struct((-F.col("containment")).alias("less"), "first_word", "n_words")
+    best = found.groupBy(id_col, "license").agg(F.min(place).alias("b"))
+    return best.select(id_col, "license", (-F.col("b.less")).alias("containment"), "b.first_word", "b.n_words")
