@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import vectors
 from ..functions.text import col
-from ..session import broadcast_if_small, materialize
+from ..session import broadcast_if_small, materialize, run_path
 
 # Queries up to this size travel to every task; larger sets take the tiled path.
 BROADCAST_BYTES = 64 << 20
@@ -29,6 +26,8 @@ QUERY_SLAB = 4096
 # Scores are compared after rounding: float32 embeddings carry no more digits, and equal rounded
 # scores are ordered by id, so results do not depend on the order of additions.
 DIGITS = 6
+# Parts of a query's candidates that are merged on their own before the last step.
+MERGE_PARTS = 32
 
 
 def embed(
@@ -199,12 +198,20 @@ def top_k(
         partial = _broadcast_top_k(asked, items, k, digits, schema)
     else:
         partial = _tiled_top_k(asked, items, k, digits, schema, size, broadcast_bytes, tile_rows)
-    best = Window.partitionBy("_q").orderBy(F.desc("score"), "_i")
-    return (
-        partial.withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-        .select(F.col("_q").alias(query_id), F.col("_i").alias(item_id), "score", "rank")
-    )
+    return best_of(partial, k).select(F.col("_q").alias(query_id), F.col("_i").alias(item_id), "score", "rank")
+
+
+def best_of(found: DataFrame, k: int, parts: int = MERGE_PARTS) -> DataFrame:
+    """The ``k`` best items of each query out of what all tasks have found, with their rank.
+
+    Merged in two steps: first inside ``parts`` hash parts of a query, so that no task gathers what every task of
+    a large store has found for one query; at most ``parts * k`` rows of it are left for the second.
+    """
+    part = F.pmod(F.xxhash64("_i"), F.lit(parts))
+    for keys in (["_q", part], ["_q"]):
+        best = Window.partitionBy(*keys).orderBy(F.desc("score"), "_i")
+        found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return found
 
 
 def approximate_top_k(
@@ -215,38 +222,24 @@ def approximate_top_k(
     query_vector: str = "query_embedding",
     item_id: str = "chunk_id",
     item_vector: str = "embedding",
-    min_score: float = 0.5,
-    tables: int = 8,
-    bucket_length: float = 0.6,
+    min_score: float | None = None,
+    target_recall: float = 0.97,
+    rerank: int = 20,
     digits: int = DIGITS,
 ) -> DataFrame:
-    """``query_id, item_id, score, rank`` for two large sides, by random projections into buckets.
+    """``query_id, item_id, score, rank`` for two large sides, through an index written for this search.
 
-    Both sides are shuffled by bucket once per table, and pairs that share a bucket are scored; so unlike
-    ``top_k`` the work doesn't grow with queries times store. Items under ``min_score`` are not looked for.
-    More tables find more; the recall against ``top_k`` is to be measured on one's own vectors.
-    Zero vectors take no part.
+    See ``vector_index``: lists are probed until a sample of stored vectors finds ``target_recall`` of its exact
+    neighbours, and the best ``rerank * k`` candidates of a query are compared exactly, so the work doesn't grow
+    with queries times store. ``k`` rows come back for each query where the store has as many; ``min_score``
+    drops those below it. Zero vectors take no part. To search again, build and keep an index.
     """
+    from . import vector_index  # it uses this module's kernels
 
-    def side(df: DataFrame, name: str, vector: str) -> DataFrame:
-        known = df.where(F.col(vector).isNotNull() & F.exists(vector, lambda x: x != 0))
-        unit = vectors.normalize(F.col(vector).cast("array<double>"))
-        return known.select(F.col(name).alias("id"), array_to_vector(unit).alias("v"))
-
-    left, right = side(queries, query_id, query_vector), side(store, item_id, item_vector)
-    projections = BucketedRandomProjectionLSH(
-        inputCol="v", outputCol="buckets", numHashTables=tables, bucketLength=bucket_length, seed=11
-    )
-    # The distance of unit vectors whose cosine is `min_score`.
-    furthest = math.sqrt(2 - 2 * min_score)
-    pairs = projections.fit(right).approxSimilarityJoin(left, right, furthest, "distance")
-    scored = pairs.select(
-        F.col("datasetA.id").alias(query_id),
-        F.col("datasetB.id").alias(item_id),
-        F.round(1 - F.col("distance") * F.col("distance") / 2, digits).alias("score"),
-    )
-    best = Window.partitionBy(query_id).orderBy(F.desc("score"), item_id)
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    path = run_path(store.sparkSession, "index")
+    vector_index.build(store.select(item_id, item_vector), path, item_id, item_vector, None, target_recall, k)
+    found = vector_index.search(queries, path, k, query_id, query_vector, item_id, item_vector, rerank=rerank, digits=digits)
+    return found if min_score is None else found.where(F.col("score") >= min_score)
 
 
 def _broadcast_top_k(asked, items, k, digits, schema) -> DataFrame:

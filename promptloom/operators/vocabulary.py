@@ -75,12 +75,22 @@ class _Pieces:
         return self.model.encode(list(texts), num_threads=1)
 
     def starts(self, texts: Sequence[str]) -> list[list[int]]:
-        return [[p.begin for p in self.model.encode(t, out_type="immutable_proto").pieces] for t in texts]
+        return [_characters_before(t, [p.begin for p in self.model.encode(t, return_type="proto").pieces]) for t in texts]
 
     def decode(self, rows: Sequence[Sequence[int]]) -> list[str]:
         return self.model.decode([list(r) for r in rows])
 
 
+def _characters_before(text: str, offsets: list[int]) -> list[int]:
+    """Ascending offsets in bytes as offsets in characters."""
+    data, out, at, characters = text.encode("utf-8", "replace"), [], 0, 0
+    for offset in offsets:
+        characters += sum(b & 0xC0 != 0x80 for b in data[at:offset])
+        at = max(at, offset)
+        out.append(characters)
+    return out
+
+
 def _char_starts(pieces: list[bytes]) -> list[int]:
     """Offsets in characters of byte pieces; a piece that begins inside a character starts where that does."""
     out, characters = [], 0
