@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import chat, moderation, pii
+from ..functions import chat, moderation, pii, recognisers
 from ..functions import templates as t
 from ..models import standins
 from ..operators import chats as ops
@@ -261,3 +261,29 @@ def inference_log_monitor(spark, sf):
     stream = inference_log.append(judged, f"{path}/table", f"{path}/checkpoint")
     stream.awaitTermination()
     return inference_log.monitor(spark.read.parquet(f"{path}/table"))
+
+
+# A document with a card number made of its id in front, and one of ten of them passes the test of cards.
+_CARD_TEXT = "('pay by card ' || (4000000000000000 + doc_id * 7919)::VARCHAR || ' or write: ' || text)"
+_DIGITS = "list_transform(string_split(reverse(regexp_replace(c, '[^0-9]', '', 'g')), ''), lambda d: d::INT)"
+_LUHN = f"""list_sum(list_transform({_DIGITS}, lambda d, i:
+    CASE WHEN i % 2 = 1 THEN d WHEN d > 4 THEN d * 2 - 9 ELSE d * 2 END)) % 10 = 0"""
+
+
+@query(
+    "F20",
+    f"""SELECT doc_id, len(list_filter(regexp_extract_all({_CARD_TEXT}, '{recognisers.CARD}'), lambda c: {_LUHN}))::BIGINT AS n_cards,
+        len(regexp_extract_all({_CARD_TEXT}, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+'))::BIGINT AS n_mails,
+        true AS masked FROM documents""",
+)
+def entity_spans(spark, sf):
+    """Cards that pass the Luhn test and mail addresses, as spans; masking them leaves none."""
+    written = F.concat(F.lit("pay by card "), (F.lit(4000000000000000) + F.col("doc_id") * 7919).cast("string"), F.lit(" or write: "), "text")
+    rows = texts(spark, sf, "documents").select("doc_id", written.alias("t"))
+    rows = rows.withColumn("s", recognisers.find_entities("t", ["CREDIT_CARD", "EMAIL_ADDRESS"]))
+    rows = rows.withColumn("left", recognisers.find_entities(recognisers.mask_spans("t", F.col("s")), ["CREDIT_CARD", "EMAIL_ADDRESS"]))
+
+    def count(entity):
+        return F.size(F.filter("s", lambda s: s["entity"] == entity)).cast("bigint")
+
+    return rows.select("doc_id", count("CREDIT_CARD").alias("n_cards"), count("EMAIL_ADDRESS").alias("n_mails"), (F.size("left") == 0).alias("masked"))
