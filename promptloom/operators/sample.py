@@ -19,6 +19,7 @@ from ..session import materialize
 _HEX = 64  # characters of a SHA-256 digest
 _STEP = 4  # prefix characters added per pass: 16^4 buckets
 _FINE = 100_000  # a bucket this small is listed hash by hash
+KEYS_AT_ONCE = 1_000_000  # keys that one task sorts
 
 
 def order_hash(key: str | list[str], seed: int | None = None) -> Column:
@@ -210,7 +211,7 @@ def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
     else:
         known = df.where(F.col(key).isNotNull())
         return known.unionByName(_halves(df.where(F.col(key).isNull()), content_hash(df), n - below, whole=True)[0])
-    last = ranges.where(F.col("p") == row["p"]).orderBy("k").limit(n - below).agg(F.max("k")).first()[0]
+    last = _nth_key(ranges.where(F.col("p") == row["p"]).select("k"), n - below, row["count"])
     before = df.where(F.col(key) < F.lit(last))
     counted = ranges.agg(F.sum((F.col("k") < F.lit(last)).cast("int")), F.sum((F.col("k") == F.lit(last)).cast("int"))).first()
     if counted[0] + counted[1] == n:
@@ -218,6 +219,26 @@ def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
     return before.unionByName(_halves(df.where(F.col(key) == F.lit(last)), content_hash(df), n - counted[0], whole=True)[0])
 
 
+def _nth_key(keys: DataFrame, n: int, size: int, at_once: int | None = None):
+    """The ``n``-th smallest of the keys; more than ``at_once`` are dealt out by range again, so no task sorts more."""
+    at_once = at_once or KEYS_AT_ONCE
+    while size > at_once:
+        # The smallest key first: it may be one that most rows share, which no range divides.
+        low = keys.agg(F.min("k")).first()[0]
+        equal = keys.where(F.col("k") == F.lit(low)).count()
+        if n <= equal:
+            return low
+        keys, n, size = keys.where(F.col("k") > F.lit(low)), n - equal, size - equal
+        parts = max(2, -(-2 * size // at_once))
+        keys = materialize(keys.repartitionByRange(parts, "k").withColumn("p", F.spark_partition_id()), "ranges")
+        for row in sorted(keys.groupBy("p").count().collect()):
+            if row["count"] >= n:
+                break
+            n -= row["count"]
+        keys, size = keys.where(F.col("p") == row["p"]).select("k"), row["count"]
+    return keys.orderBy("k").limit(n).agg(F.max("k")).first()[0]
+
+
 def spread(df: DataFrame, n: int) -> DataFrame:
     """Round-robin over ``n`` partitions, at least one (so "workers minus one" works on one machine)."""
     return df.repartition(max(1, n))

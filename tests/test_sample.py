@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -159,3 +160,15 @@ def test_first_rows_with_ties(spark, n):
     assert len({tuple(r) for r in got}) == len(got) == min(n, 45)
     lowest = [0] * 20 + [1] * 20 + [None] * 5
     assert sorted((r["k"] for r in got), key=lambda k: (k is None, k)) == lowest[:n]
+
+
+def test_nth_key_without_one_large_sort(spark, monkeypatch):
+    """Ranges are dealt out again until one is small; keys that very many rows share are found on the way."""
+    rng = random.Random(4)
+    values = [rng.choice([5, 5, 5, rng.randrange(40), rng.randrange(1000)]) for _ in range(3000)]
+    keys = spark.createDataFrame([(v,) for v in values], "k long").repartition(4).cache()
+    for n in (1, 700, 1500, 2200, 2999, 3000):
+        assert sample._nth_key(keys, n, 3000, 50) == sorted(values)[n - 1]
+    monkeypatch.setattr(sample, "KEYS_AT_ONCE", 20)
+    first = sample.first_rows(keys.select("k", F.monotonically_increasing_id().alias("i")), "k", 800)
+    assert sorted(r["k"] for r in first.collect()) == sorted(values)[:800]
