@@ -19,8 +19,9 @@ from .common import share, text_or_empty
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = range(4)
-#: Bytes of words, and of pairs of tokens, that a worker remembers in each table; older ones make room.
-WORDS_KEPT, PAIRS_KEPT = 24 << 20, 24 << 20
+#: Bytes that a worker remembers in each of its tables (words, spaced words, decoded words, pairs of tokens); older
+#: entries make room. Fewer bytes cost time: words are encoded anew.
+MEMORY = 96 << 20
 #: Bytes of ids in one batch of results.
 IDS_AT_ONCE = 4 << 20
 #: Words of a line with the spaces before them.
@@ -49,7 +50,7 @@ class Memory(dict):
 class Pieces:
     """A vocabulary of merge-type pieces: ``(piece, score, kind)`` by id, as the model file lists them."""
 
-    def __init__(self, vocabulary: list[tuple[str, float, int]], reachable: frozenset[int] | None = None):
+    def __init__(self, vocabulary: list[tuple[str, float, int]], reachable: frozenset[int] | None = None, memory: int = MEMORY):
         self.vocabulary = vocabulary
         self.score = {p: s for p, s, kind in vocabulary if kind == NORMAL}
         self.id_of = {p: i for i, (p, _, kind) in enumerate(vocabulary) if kind == NORMAL}
@@ -75,10 +76,10 @@ class Pieces:
         # The next shorter match where a piece matches: its longest proper prefix that is a piece.
         starts = [p for p in self.automaton]
         self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.automaton), None) for p in starts}
-        self.pairs = Memory(self._fit, PAIRS_KEPT)
-        self.words = Memory(self._encoded_word, WORDS_KEPT)
-        self.spaced = Memory(lambda word: self._encoded_word(" " + word), WORDS_KEPT)
-        self.shown = Memory(self._decoded_word, WORDS_KEPT)
+        self.pairs = Memory(self._fit, memory)
+        self.words = Memory(self._encoded_word, memory)
+        self.spaced = Memory(lambda word: self._encoded_word(" " + word), memory)
+        self.shown = Memory(self._decoded_word, memory)
 
     def merge(self, text: str) -> list[str]:
         """The definition: merge the adjacent pair of the best score, leftmost first, until none is left."""
@@ -213,33 +214,34 @@ def load_vocabulary(path: str) -> tuple[list[tuple[str, float, int]], frozenset[
 _WORKER: dict[str, Pieces] = {}
 
 
-def _pieces_of(key: str, broadcast) -> Pieces:
+def _pieces_of(key: str, broadcast, memory: int) -> Pieces:
     """One set of tables and memories per worker process."""
     if key not in _WORKER:
         _WORKER.clear()
-        _WORKER[key] = Pieces(*broadcast.value)
+        _WORKER[key] = Pieces(*broadcast.value, memory)
     return _WORKER[key]
 
 
 def encode_documents(
     docs: DataFrame, model_path: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text",
-    with_ids: bool = False,
+    with_ids: bool = False, memory: int = MEMORY,
 ) -> DataFrame:
     """``id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``, decimals with spaces between): one row per row
     of ``docs``, no shuffle.
 
     Encodes whole texts exactly as the sentencepiece library does, appends ``end_id``, and decodes
     the ids again. A word (with the spaces before it) is encoded on its own, which is exact since no
-    piece crosses from a word into the next space; each worker remembers frequent words. Null text counts
+    piece crosses from a word into the next space; each worker remembers frequent words, in tables of up to two
+    times ``memory`` bytes each. Null text counts
     as empty and has the end id only; null ids are kept; repeated rows are encoded each.
     """
     vocabulary = load_vocabulary(model_path)
-    key = hashlib.sha256(repr(vocabulary[0]).encode()).hexdigest()
+    key = f"{hashlib.sha256(repr(vocabulary[0]).encode()).hexdigest()}:{memory}"
     shared = share(docs.sparkSession, vocabulary)  # as large as the model file, whatever the input
     last = b"" if end_id is None else b"%d" % end_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces_of(key, shared)
+        pieces = _pieces_of(key, shared, memory)
         for batch in batches:
             counts, ids_digests, text_digests, all_ids, held, begin = [], [], [], [], 0, 0
 
