@@ -303,3 +303,16 @@ def test_copies_without_capitals(spark):
 def test_registered_queries_of_the_new_operators(spark):
     for name in ("op11_sketch", "op12_trie", "op13_merkle"):
         assert QUERIES[name](spark, SMALL).count() > 0
+
+
+def test_ids_come_in_slices_and_memories_are_bounded(spark, docs, monkeypatch):
+    from promptloom.llm import pieces
+    from promptloom.llm.queries import tokenizer_path
+
+    whole = pieces.encode_documents(docs, tokenizer_path(), with_ids=True).orderBy("doc_id").collect()
+    monkeypatch.setattr(pieces, "IDS_AT_ONCE", 500)
+    assert pieces.encode_documents(docs, tokenizer_path(), with_ids=True).orderBy("doc_id").collect() == whole
+    assert all(sha(r["ids"]) == r["ids_sha256"] and r["n_tokens"] == len(r["ids"].split(" ")) for r in whole)
+    memory = pieces.Memory(lambda key: key * 2, 20_000)
+    assert all(memory[f"word {k % 700}"] == f"word {k % 700}" * 2 for k in range(5000))
+    assert 0 < memory.used <= 20_400 and len(memory) + len(memory.older) <= 240
