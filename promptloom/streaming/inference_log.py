@@ -15,7 +15,13 @@ from ..operators.generate import Loader
 def read_requests(
     spark: SparkSession, folder: str, schema: T.StructType, files: str = "*.parquet", files_per_batch: int = 1000
 ) -> DataFrame:
-    """New request files of a folder as a stream."""
+    """New request files of a folder as a stream; where ``files`` names a folder inside it, that folder's files.
+
+    A table written by Spark is such a folder, and a stream lists neither it by a pattern of file names nor its files.
+    """
+    inside = spark._jvm.org.apache.hadoop.fs.Path(folder, files)
+    is_folder = "*" not in files and inside.getFileSystem(spark._jsc.hadoopConfiguration()).isDirectory(inside)
+    folder, files = (f"{folder}/{files}", "*") if is_folder else (folder, files)
     return (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", files)

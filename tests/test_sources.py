@@ -194,6 +194,18 @@ def test_inference_log_stream(spark, tmp_path):
     assert moderation.VIOLATION
 
 
+@pytest.mark.parametrize("as_folder", [True, False])
+def test_a_table_is_a_folder_of_files_or_a_file(spark, tmp_path, as_folder):
+    """Requests of a table that Spark has written, a folder, are streamed as those of a single file are."""
+    rows = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "id long, text string")
+    rows.repartition(4).write.parquet(f"{tmp_path}/in/log.parquet") if as_folder else rows.toPandas().to_parquet(
+        (tmp_path / "in").mkdir() or f"{tmp_path}/in/log.parquet"
+    )
+    stream = inference_log.read_requests(spark, f"{tmp_path}/in", rows.schema, "log.parquet")
+    inference_log.append(stream, f"{tmp_path}/table", f"{tmp_path}/checkpoint").awaitTermination()
+    assert sorted(r["id"] for r in spark.read.schema(rows.schema).parquet(f"{tmp_path}/table").collect()) == list(range(40))
+
+
 def test_shards_of_many_splits(spark, tmp_path):
     """More splits than could be listed in a plan, one of them with rows that share a key."""
     rows = spark.range(3000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("split"))
