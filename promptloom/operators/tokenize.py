@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tokens as t
 
+#: Characters of texts that are encoded at a time, and rows that are taken out of an Arrow batch at a time.
+TEXT_AT_ONCE, ROWS_AT_ONCE = 1 << 20, 256
+
 
 def tokenize_rows(
     df: DataFrame,
@@ -46,13 +49,29 @@ def tokenize_rows(
     ).withColumn("input_ids", F.concat("input_ids", F.array_repeat(F.lit(pad_id), missing)))
 
 
+def text_blocks(texts: pa.Array) -> Iterator[list]:
+    """An Arrow batch of texts in blocks of about ``TEXT_AT_ONCE`` characters, each a list of its own."""
+    for at in range(0, len(texts), ROWS_AT_ONCE):
+        rows = texts.slice(at, ROWS_AT_ONCE).to_pylist()
+        block, size = [], 0
+        for row in rows:
+            block.append(row)
+            size += len(row or "")
+            if size >= TEXT_AT_ONCE:
+                yield block
+                block, size = [], 0
+        if block:
+            yield block
+
+
 def encode_udf(encoder: Callable[[], Callable[[list[str]], list[list[int]]]]):
-    """Arrow UDF around a tokenizer that is loaded once per task."""
+    """Arrow UDF around a tokenizer that is loaded once per task; it holds the ids of a block of texts at a time."""
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = encoder()
         for texts in batches:
-            yield pd.Series(tokenizer(texts.tolist()), index=texts.index, dtype=object)
+            for block in text_blocks(texts):
+                yield pa.array(tokenizer(block), pa.list_(pa.int32()))
 
     return encode

@@ -9,17 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .generate import cached_loader
-from .tokenize import encode_udf
+from .tokenize import TEXT_AT_ONCE, encode_udf, text_blocks
 
-#: Characters of texts that are encoded at a time.
-TEXT_AT_ONCE = 4 << 20
+#: Token ids that are decoded at a time.
+IDS_AT_ONCE = 1 << 18
 
 
 class _Json:
@@ -144,16 +145,28 @@ def _blocks(texts: Sequence[str]) -> Iterator[slice]:
         yield slice(at, len(texts))
 
 
+def _id_blocks(rows: pa.Array) -> Iterator[pa.Array]:
+    """An Arrow batch of lists of ids in slices of about ``IDS_AT_ONCE`` ids."""
+    at = size = 0
+    for k, n in enumerate(pc.list_value_length(rows).to_pylist()):
+        size += n or 0
+        if size >= IDS_AT_ONCE:
+            yield rows.slice(at, k + 1 - at)
+            at, size = k + 1, 0
+    if at < len(rows):
+        yield rows.slice(at)
+
+
 def with_token_counts(df: DataFrame, text: str, out: str, loader: Callable) -> DataFrame:
     """Adds the number of tokens, null for a null text. Whole texts count; nothing is shuffled."""
 
-    @F.pandas_udf("long")
-    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("long")
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = loader()
         for texts in batches:
-            known = texts.dropna()
-            sizes = [len(ids) for block in _blocks(known.tolist()) for ids in model.encode(known.tolist()[block])]
-            yield pd.Series(sizes, index=known.index, dtype="Int64").reindex(texts.index)
+            for block in text_blocks(texts):
+                sizes = iter([len(ids) for ids in model.encode([t for t in block if t is not None])])
+                yield pa.array([None if t is None else next(sizes) for t in block], pa.int64())
 
     return df.withColumn(out, count(F.col(text)))
 
@@ -161,12 +174,16 @@ def with_token_counts(df: DataFrame, text: str, out: str, loader: Callable) -> D
 def with_decoded(df: DataFrame, ids: str, out: str, loader: Callable) -> DataFrame:
     """Adds the text of token ids."""
 
-    @F.pandas_udf("string")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = loader()
         for rows in batches:
-            known = rows.dropna()
-            yield pd.Series(model.decode(known.tolist()), index=known.index, dtype=object).reindex(rows.index)
+            for part in _id_blocks(rows):
+                known, ids = part.is_valid().to_pylist(), part.flatten().to_numpy(zero_copy_only=False)
+                ends = np.cumsum(pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False))
+                lists = [x.tolist() for x in np.split(ids, ends[:-1])]
+                shown = iter(model.decode([x for x, k in zip(lists, known) if k]))
+                yield pa.array([next(shown) if k else None for k in known], pa.string())
 
     return df.withColumn(out, decode(F.col(ids)))
 

@@ -39,6 +39,24 @@ def test_ids_counts_and_text(texts, kind):
                 assert rows[i]["shown"] == text
 
 
+def test_a_batch_is_encoded_in_blocks(spark):
+    """However many texts an Arrow batch has, ids of a bounded number of characters (or ids) are held at a time."""
+
+    class Small:
+        def encode(self, texts):
+            assert sum(map(len, texts)) <= 2 * tokenize.TEXT_AT_ONCE
+            return [[1] * len(t) for t in texts]
+
+        def decode(self, rows):
+            assert sum(map(len, rows)) <= 2 * vocabulary.IDS_AT_ONCE
+            return ["x" * len(r) for r in rows]
+
+    rows = spark.range(0, 2000, 1, 1).select("id", F.when(F.col("id") % 7 != 0, F.repeat(F.lit("x"), 2000)).alias("text"))
+    rows = vocabulary.with_token_counts(vocabulary.with_ids(rows, "text", "ids", Small), "text", "n", Small)
+    right = (F.col("shown").eqNullSafe(F.col("text"))) & F.col("n").eqNullSafe(F.length("text"))
+    assert vocabulary.with_decoded(rows, "ids", "shown", Small).where(right).count() == 2000
+
+
 @pytest.mark.parametrize("kind", sorted(FILES))
 @pytest.mark.parametrize("size,overlap", [(1, 0), (7, 3), (50, 49), (10_000, 0)])
 def test_chunks_are_stretches_of_the_text(texts, kind, size, overlap):
