@@ -24,6 +24,8 @@ Loader = Callable[[], Callable[..., Sequence]]
 
 # Fixed value: the batch size found best for the published batch job.
 BATCH_SIZE = 15
+#: Rows that are taken out of an Arrow batch at a time.
+ROWS_AT_ONCE = 256
 
 
 def is_out_of_memory(error: BaseException) -> bool:
@@ -286,22 +288,23 @@ def batch_size_sweep(
 ) -> DataFrame:
     """Per batch size: rows, elapsed seconds, seconds per row, success.
 
-    All sizes run side by side: every prompt goes to every size, each task times its own batches,
-    and times add up. A task stops calling the model with a size once that has failed there, and sizes
+    All sizes run side by side: every prompt travels once and goes to every size, each task times its own batches
+    and passes on one row per size, and times add up. A task stops calling the model with a size once that has failed there, and sizes
     behind the first failing one are left out. ``sample`` takes that many rows by ``key`` instead of all.
     Null prompts are left out.
     """
     ordered = sorted(set(sizes))
     if sample is not None:
         df = sample_rows(df, key or prompt, sample)
-    work = df.where(F.col(prompt).isNotNull()).select(F.col(prompt).alias("prompt"), F.explode(F.lit(ordered)).alias("batch_size"))
+    work = df.where(F.col(prompt).isNotNull()).select(F.col(prompt).alias("prompt"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = loader()
-        waiting: dict[int, list[str]] = {}
+        waiting: dict[int, list] = {size: [] for size in ordered}
+        rows, seconds, succeeded = dict.fromkeys(ordered, 0), dict.fromkeys(ordered, 0.0), dict.fromkeys(ordered, True)
         failed = max(ordered, default=0) + 1  # the smallest size that has failed in this task
 
-        def timed(size: int, prompts: list[str]) -> pd.DataFrame:
+        def timed(size: int, prompts: list) -> None:
             nonlocal failed
             began = clock()
             success = size < failed
@@ -314,23 +317,28 @@ def batch_size_sweep(
                     success = False
                     if len(prompts) == size:
                         failed = size
-            took = clock() - began
-            return pd.DataFrame(
-                {"batch_size": [size], "n": [len(prompts)], "seconds": [took], "success": [success]}
-            )
+            seconds[size] += clock() - began
+            rows[size] += len(prompts)
+            succeeded[size] &= success
 
-        for frame in batches:
-            for prompt_text, size in zip(frame["prompt"], frame["batch_size"]):
-                queue = waiting.setdefault(int(size), [])
-                queue.append(prompt_text)
-                if len(queue) == size:
-                    yield timed(int(size), queue)
-                    waiting[int(size)] = []
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                for text in batch.column(0).slice(at, ROWS_AT_ONCE).to_pylist():
+                    for size, queue in waiting.items():
+                        queue.append(text)
+                        if len(queue) == size:
+                            timed(size, queue)
+                            waiting[size] = []
         for size, queue in waiting.items():
             if queue:
-                yield timed(size, queue)
-
-    timings = work.mapInPandas(run, "batch_size int, n long, seconds double, success boolean")
+                timed(size, queue)
+        met = [size for size in ordered if rows[size]]
+        columns = [[at[size] for size in met] for at in (rows, seconds, succeeded)]
+        types = (pa.int32(), pa.int64(), pa.float64(), pa.bool_())
+        names = ["batch_size", "n", "seconds", "success"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([met, *columns], types)], names=names)
+
+    timings = work.mapInArrow(run, "batch_size int, n long, seconds double, success boolean")
     return summarise_sweep(timings)
 
 

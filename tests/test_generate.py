@@ -199,6 +199,15 @@ def test_sweep_stops_at_the_first_failing_size(spark):
     assert g.best_batch_size(sweep).first()["batch_size"] in (1, 2, 4)
 
 
+def test_sweep_sends_each_prompt_once(spark):
+    """Prompts are not copied for each size on their way to the model, and a task passes on a row per size."""
+    frame = spark.range(0, 3000, 1, 2).select(F.col("id").cast("string").alias("p"))
+    sweep = g.batch_size_sweep(frame, "p", lambda: lambda prompts: prompts, [1, 2, 7])
+    assert {r["batch_size"]: (r["n_rows"], r["success"]) for r in sweep.collect()} == {s: (3000, True) for s in (1, 2, 7)}
+    plan = sweep._jdf.queryExecution().analyzed().toString()
+    assert "MapInArrow" in plan and "Generate explode" not in plan
+
+
 def test_one_call_per_slot(spark):
     assert [r["res"] for r in partitions.run_on_all_slots(spark, lambda: "OK", 3).collect()] == ["OK"] * 3
     assert partitions.one_row_per_partition(spark, 4).rdd.getNumPartitions() == 4
