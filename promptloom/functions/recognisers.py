@@ -7,7 +7,7 @@ spans the best one stays. All of it is column expressions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -42,6 +42,8 @@ class Recogniser:
     valid: object = None
     context: tuple[str, ...] = ()
     cut: object = None
+    #: A character that every candidate has; texts without it are not searched.
+    needs: str = "[0-9]"
 
 
 def luhn(candidate: Column) -> Column:
@@ -79,7 +81,7 @@ def _not_reserved(candidate: Column) -> Column:
 CARD = r"\b(?:[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}|[0-9]{4}[ -]?[0-9]{6}[ -]?[0-9]{5}|[0-9]{13,19})\b"
 _PATTERNS = dict([pii.EMAIL, *pii.NUMBERS[:-2]])
 RECOGNISERS = (
-    Recogniser("EMAIL_ADDRESS", _PATTERNS["EMAIL_ADDRESS"], 0.9),
+    Recogniser("EMAIL_ADDRESS", _PATTERNS["EMAIL_ADDRESS"], 0.9, needs="@"),
     Recogniser("IP_ADDRESS", _PATTERNS["IP_ADDRESS"], 0.6, context=("ip", "address", "host", "server")),
     Recogniser("IBAN_CODE", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b", 0.95, mod_97, ("iban", "account", "bank"), iban_text),
     Recogniser("CREDIT_CARD", CARD, 0.8, luhn, ("card", "visa", "credit", "debit", "payment")),
@@ -88,9 +90,20 @@ RECOGNISERS = (
 )
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """An expression over a value that is computed once, however often it is used in it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _spans_of(text: Column, rule: Recogniser) -> Column:
     """Spans of one recogniser: the text cut at its candidates, offsets summed up, candidates tested."""
     parts = F.split(F.regexp_replace(text, rule.pattern, f"{_MARK}$0{_MARK}"), _MARK)
+    # A text without a candidate is one part.
+    spans = _bound(parts, lambda p: F.when(F.size(p) > 1, _spans_between(text, p, rule)).otherwise(F.array().cast(SPANS)))
+    return F.when(text.rlike(rule.needs), spans).otherwise(F.array().cast(SPANS))
+
+
+def _spans_between(text: Column, parts: Column, rule: Recogniser) -> Column:
     none = F.array().cast("array<struct<start:int,end:int,found:string>>")
     begin = F.struct(F.lit(0).alias("at"), F.lit(False).alias("candidate"), none.alias("out"))
 
@@ -116,8 +129,7 @@ def _spans_of(text: Column, rule: Recogniser) -> Column:
             F.least(F.lit(rule.score) + bonus, F.lit(1.0)).alias("score"),
         )
 
-    # A text without a candidate is one part.
-    return F.when(F.size(parts) > 1, F.transform(found, scored)).otherwise(F.array().cast(SPANS))
+    return F.transform(found, scored)
 
 
 def find_entities(c: Column | str, entities: Sequence[str] | None = None, min_score: float = MIN_SCORE) -> Column:
@@ -127,13 +139,16 @@ def find_entities(c: Column | str, entities: Sequence[str] | None = None, min_sc
     left to right keeps, of spans that overlap, the one with the higher score, then the longer one. Null texts give
     null; positions count characters from 0.
     """
-    text = F.translate(col(c), _MARK, _OTHER)
     rules = [r for r in RECOGNISERS if entities is None or r.entity in entities]
-    every = F.filter(F.concat(*[_spans_of(text, r) for r in rules]), lambda s: s["score"] >= min_score)
-    worth = F.transform(
-        F.array_sort(F.transform(every, lambda s: F.struct(s["start"].alias("start"), (-s["score"]).alias("less"), (-s["end"]).alias("far"), s["entity"].alias("entity")))),
-        lambda s: F.struct(s["start"].alias("start"), (-s["far"]).alias("end"), s["entity"].alias("entity"), (-s["less"]).alias("score")),
-    )
+
+    def spans(text: Column) -> Column:
+        every = F.filter(F.concat(*[_spans_of(text, r) for r in rules]), lambda s: s["score"] >= min_score)
+        worth = F.transform(
+            F.array_sort(F.transform(every, lambda s: F.struct(s["start"].alias("start"), (-s["score"]).alias("less"), (-s["end"]).alias("far"), s["entity"].alias("entity")))),
+            lambda s: F.struct(s["start"].alias("start"), (-s["far"]).alias("end"), s["entity"].alias("entity"), (-s["less"]).alias("score")),
+        )
+        found = _bound(worth, lambda w: F.when(F.size(w) > 1, F.aggregate(w, F.array().cast(SPANS), sweep)).otherwise(w))
+        return F.when(text.isNull(), F.lit(None).cast(SPANS)).when(text.rlike("[0-9@]"), found).otherwise(F.array().cast(SPANS))
 
     def sweep(kept: Column, s: Column) -> Column:
         last = F.element_at(kept, -1)
@@ -144,9 +159,7 @@ def find_entities(c: Column | str, entities: Sequence[str] | None = None, min_sc
             better, F.concat(F.slice(kept, F.lit(1), F.size(kept) - 1), own)
         ).otherwise(kept)
 
-    found = F.when(F.size(worth) > 1, F.aggregate(worth, F.array().cast(SPANS), sweep)).otherwise(worth)
-    digits_or_mail = col(c).rlike("[0-9@]")
-    return F.when(col(c).isNull(), F.lit(None).cast(SPANS)).when(digits_or_mail, found).otherwise(F.array().cast(SPANS))
+    return _bound(F.replace(col(c), F.lit(_MARK), F.lit(_OTHER)), spans)
 
 
 def mask_spans(c: Column | str, spans: Column) -> Column:

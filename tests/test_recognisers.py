@@ -61,3 +61,12 @@ def test_spans_are_ordered_and_apart(spark, n):
 def test_no_python_in_the_plan(spark):
     plan = spark.range(3).select(r.mask_entities(F.col("id").cast("string")).alias("m"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_text_is_searched_once(spark):
+    """Each recogniser cuts the text once, and the text, itself the result of work, is computed once."""
+    text = F.concat(F.col("id").cast("string"), F.lit(" once only"))
+    found = spark.range(3).select(r.find_entities(text, ["EMAIL_ADDRESS", "CREDIT_CARD"]).alias("s"))
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.count("once only") == 1 and plan.count("a-z0-9._%+-]+@") <= 1 and plan.count("[0-9]{13,19}") == 1
+    assert [x["s"] for x in found.collect()] == [[]] * 3
