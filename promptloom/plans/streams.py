@@ -10,13 +10,18 @@ from ..session import run_path
 from ..streaming import log_windows, resumable
 from .registry import query, summary_sql, table
 
-FILES = 4
+#: Micro-batches in which the files of a table arrive.
+BATCHES = 4
 
 
 def _as_files(df, path: str, order: str):
-    """A table as a folder of files that arrive in order."""
-    df.repartitionByRange(FILES, order).sortWithinPartitions(order).write.parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    """A table as a folder of files that arrive in order, ``BATCHES`` times as many as there are scan tasks for a batch.
+
+    Their number grows with the table, so that no task writes more than a scan task has read.
+    """
+    each = max(1, -(-df.rdd.getNumPartitions() // BATCHES))
+    df.repartitionByRange(BATCHES * each, order).sortWithinPartitions(order).write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", each).parquet(path)
 
 
 @query("N13 K10", f"SELECT doc_id, {summary_sql('text')} AS answer, 1::BIGINT AS n_answers FROM documents")

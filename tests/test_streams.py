@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from promptloom.plans import streams
 from promptloom.streaming import log_windows, resumable
 
 
@@ -90,3 +91,16 @@ def test_late_rows_are_kept_apart(spark, tmp_path):
         log_windows.set_late_apart(stream, "ts", str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
     ids = {n: sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out" / n)).collect()) for n in ("on_time", "late")}
     assert ids == {"on_time": [1, 2, 3, 4], "late": [5, 6]}
+
+
+def test_files_of_a_larger_table_are_more_not_larger(spark, tmp_path):
+    """A table of many scan tasks arrives in as many micro-batches, each of several files, and whole."""
+    for n, files in ((2, 4), (24, 24)):
+        at = str(tmp_path / str(n))
+        stream = streams._as_files(spark.range(0, 2400, 1, n), f"{at}/in", "id")
+        assert len(list((tmp_path / str(n) / "in").glob("part-*"))) == files
+        seen = []
+        stream.writeStream.foreachBatch(lambda b, i: seen.append(b.count())).option("checkpointLocation", f"{at}/c").trigger(
+            availableNow=True
+        ).start().awaitTermination()
+        assert len(seen) == 4 and sum(seen) == 2400
