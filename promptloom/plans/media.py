@@ -9,7 +9,7 @@ from ..functions import prompts, text
 from ..operators import images, product
 from ..session import run_path
 from ..sources import readers, writers
-from .registry import query, table
+from .registry import query, table, texts
 
 _COMBINED = """FROM (SELECT DISTINCT p_name FROM part) i CROSS JOIN (SELECT DISTINCT p_brand FROM part) s
     CROSS JOIN (SELECT DISTINCT ' ' || p_type AS colour FROM part) c"""
@@ -125,7 +125,7 @@ def image_files(spark, sf):
     path = run_path(spark, "images")
     writers.save_csv(images.image_metadata(images.image_prompts(descriptions(spark, sf))), f"{path}/metadata.csv")
     colour = F.pmod(F.xxhash64("p_partkey"), F.lit(1 << 24)).cast("int")
-    named = table(spark, sf, "part").select(text.file_name("p_partkey").alias("name"), colour.alias("colour"))
+    named = texts(spark, sf, "part").select(text.file_name("p_partkey").alias("name"), colour.alias("colour"))
     writers.save_files(images.one_colour(named, "colour", "content"), path, "name", "content")
     found = readers.image_folder(spark, path)
     return found.select(

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from fnmatch import fnmatchcase
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,8 @@ from ..operators.sample import train_test_split
 
 #: Scan partitions from which an input is large enough to be left as it is.
 TINY = 16
+#: Bytes of images, and images, that a task hands on at a time.
+CONTENT_AT_ONCE, FILES_AT_ONCE = 16 << 20, 2_000
 
 
 def balanced(df: DataFrame) -> DataFrame:
@@ -95,13 +99,55 @@ def first_column(df: DataFrame) -> Column:
     return F.col(df.columns[0])
 
 
+def _mounted(spark: SparkSession, path: str) -> str | None:
+    """A path as a folder of the local file system (mounted on all executors), or None for any other store."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at)
+    return whole.toUri().getPath() if whole.toUri().getScheme() == "file" else None
+
+
 def image_folder(spark: SparkSession, path: str, captions: str = "metadata.csv", suffix: str = "*.png") -> DataFrame:
-    """``file_name, text, path, content``: images of a folder with the captions of its metadata file."""
+    """``file_name, text, path, content``: images of a folder with the captions of its metadata file.
+
+    In a mounted folder tasks open the files that the captions name: any number of them, none listed by the driver.
+    Elsewhere Spark lists the folder and joins it to the captions.
+    """
     schema = T.StructType([T.StructField("file_name", T.StringType()), T.StructField("text", T.StringType())])
     table = spark.read.csv(f"{path}/{captions}", schema=schema, header=True, multiLine=True, escape='"')
-    images = spark.read.format("binaryFile").option("pathGlobFilter", suffix).load(path)
-    named = images.select(F.substring_index("path", "/", -1).alias("file_name"), "path", "content")
-    return named.join(table, "file_name")
+    folder = _mounted(spark, path)
+    if folder is None or any(c in path + suffix.replace("*", "") for c in "*?[]{}\\"):
+        images = spark.read.format("binaryFile").option("pathGlobFilter", suffix).load(path)
+        named = images.select(F.substring_index("path", "/", -1).alias("file_name"), "path", "content")
+        return named.join(table, "file_name")
+
+    def opened(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        found, size = [], 0
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                # Hidden names are no images to Spark either.
+                if name is None or "/" in name or name[:1] in ("", ".", "_") or not fnmatchcase(name, suffix):
+                    continue
+                try:
+                    with open(f"{folder}/{name}", "rb") as file:
+                        content = file.read()
+                except (FileNotFoundError, IsADirectoryError):
+                    continue
+                found.append((name, text, f"file:{folder}/{name}", content))
+                size += len(content)
+                if size >= CONTENT_AT_ONCE or len(found) >= FILES_AT_ONCE:
+                    yield _image_rows(found)
+                    found, size = [], 0
+        if found:
+            yield _image_rows(found)
+
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return table.repartition(tasks, "file_name").mapInArrow(opened, "file_name string, text string, path string, content binary")
+
+
+def _image_rows(found: list[tuple]) -> pa.RecordBatch:
+    types = (pa.string(), pa.string(), pa.string(), pa.binary())
+    columns = [pa.array(c, t) for c, t in zip(zip(*found), types)]
+    return pa.RecordBatch.from_arrays(columns, names=["file_name", "text", "path", "content"])
 
 
 def messages_column(c: Column | str, is_json: bool) -> Column:

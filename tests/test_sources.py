@@ -165,6 +165,22 @@ def test_image_folder(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, meta.collect()))
 
 
+def test_images_are_opened_by_tasks(spark, tmp_path):
+    """No folder is listed on the driver: files are opened where their captions are, many captions by several tasks."""
+    names = [f"{i}.png" for i in range(300)] + ["gone.png", "_hidden.png", "x.txt", "../out.png", None, "0.png"]
+    rows = spark.createDataFrame([(n, f"text of {n}") for n in names], "file_name string, text string")
+    writers.save_csv(rows.coalesce(1), f"{tmp_path}/in/metadata.csv")
+    files = [*names[:300], "_hidden.png", "x.txt", "uncaptioned.png"]
+    frame = spark.createDataFrame([(n, n.encode()) for n in files], "name string, content binary")
+    writers.save_files(frame, f"{tmp_path}/in", "name", "content")
+    (tmp_path / "out.png").write_bytes(b"out")
+    loaded = readers.image_folder(spark, f"{tmp_path}/in")
+    old = spark.read.format("binaryFile").option("pathGlobFilter", "*.png").load(f"{tmp_path}/in")
+    old = old.select(F.substring_index("path", "/", -1).alias("file_name"), "path", "content").join(rows, "file_name")
+    assert sorted(loaded.select(old.columns).collect()) == sorted(old.collect()) and loaded.count() == 301
+    assert loaded.rdd.getNumPartitions() > 1 and "binaryFile" not in loaded._jdf.queryExecution().toString()
+
+
 def test_inference_log_stream(spark, tmp_path):
     """Two runs over arriving files append each request once and equal the batch form."""
     folder, table, checkpoint = (str(tmp_path / n) for n in ("in", "log", "ckpt"))
