@@ -28,8 +28,10 @@ RERANK = 20
 QUERIES_PER_TASK = 4_096
 #: Rows of a list that meet queries in one task, and that one file holds.
 ROWS_PER_PART = 100_000
-#: Approximate scores held at once by one task.
+#: Approximate scores, or products with centers or codewords, held at once by one task.
 SCORES_AT_ONCE = 2_000_000
+#: Queries whose tables of products a task of met lists holds at once.
+QUERIES_AT_ONCE = 512
 
 
 @dataclass(frozen=True)
@@ -51,7 +53,7 @@ class IndexModel:
 
     def encode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """List number and one byte per subspace of each unit row."""
-        lists = (unit @ self.centers.T).argmax(axis=1)
+        lists = np.concatenate([(unit[b] @ self.centers.T).argmax(axis=1) for b in _row_blocks(len(unit), len(self.centers))])
         rest = self._cut(unit - self.centers[lists])
         codes = np.empty(rest.shape[:2], np.uint8)
         for m, book in enumerate(self.codebooks):
@@ -60,16 +62,23 @@ class IndexModel:
 
     def probes(self, unit: np.ndarray, n: int) -> np.ndarray:
         """The ``n`` lists with the nearest centers, for each row."""
-        near = unit @ self.centers.T
-        return np.argsort(-near, axis=1, kind="stable")[:, :n]
+        blocks = _row_blocks(len(unit), len(self.centers))
+        return np.concatenate([np.argsort(-(unit[b] @ self.centers.T), axis=1, kind="stable")[:, :n] for b in blocks])
 
     def tables(self, unit: np.ndarray) -> np.ndarray:
         """Products of every row's subspaces with all codewords; a code's score is the sum of its entries."""
         return np.einsum("qmd,mkd->qmk", self._cut(unit), self.codebooks)
 
 
+def _row_blocks(n: int, width: int) -> list[slice]:
+    """``n`` rows in blocks that have at most ``SCORES_AT_ONCE`` scores of ``width`` each; one block of none for no rows."""
+    step = max(1, SCORES_AT_ONCE // max(1, width))
+    return [slice(a, a + step) for a in range(0, max(1, n), step)]
+
+
 def _nearest(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    return ((centers * centers).sum(axis=1) - 2 * rows @ centers.T).argmin(axis=1)
+    size = (centers * centers).sum(axis=1)
+    return np.concatenate([(size - 2 * rows[b] @ centers.T).argmin(axis=1) for b in _row_blocks(len(rows), len(centers))])
 
 
 def _k_means(rows: np.ndarray, k: int, seed: int, rounds: int = 10) -> np.ndarray:
@@ -320,7 +329,8 @@ def _sent_to_lists(asked: DataFrame, stored: DataFrame, model: IndexModel, keep:
         if not len(unit):
             return
         own = IndexModel(centers, codebooks)
-        best, home, id_type = {}, own.tables(unit).astype(np.float32), None
+        blocks = _row_blocks(len(unit), codebooks.shape[0] * codebooks.shape[1])
+        best, home, id_type = {}, np.concatenate([own.tables(unit[b]).astype(np.float32) for b in blocks]), None
         for batch in batches:
             lists = batch.column(1).to_numpy()
             ids, codes, id_type = _id_array(batch.column(0)), _codes(batch.column(2)) if batch.num_rows else None, batch.schema.field(0).type
@@ -373,12 +383,14 @@ def _met_by_list(asked: DataFrame, stored: DataFrame, model: IndexModel, keep: i
         q, i, s = np.zeros(0, int), [], []
         if codes.num_rows and asks.num_rows:
             own, unit = IndexModel(*shared.value), unit_rows(as_matrix(asks.column("_w")))
-            best = _Candidates(own.tables(unit), keep)
-            best.add(
-                np.arange(len(unit)), unit @ own.centers[key[0].as_py()], _id_array(codes.column("_i")),
-                _codes(codes.column("code").combine_chunks()),
-            )
-            q, i, s = best.found
+            ids, known = _id_array(codes.column("_i")), _codes(codes.column("code").combine_chunks())
+            parts = []
+            for at in range(0, len(unit), QUERIES_AT_ONCE):
+                some = unit[at : at + QUERIES_AT_ONCE]
+                best = _Candidates(own.tables(some), keep)
+                best.add(np.arange(len(some)), some @ own.centers[key[0].as_py()], ids, known)
+                parts.append((best.found[0] + at, *best.found[1:]))
+            q, i, s = map(np.concatenate, zip(*parts))
         names = asks.column("_q").combine_chunks().take(pa.array(q)).cast(q_type) if asks.num_rows else pa.array([], q_type)
         number = key[0].as_py() or 0
         return pa.table(

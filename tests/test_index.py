@@ -50,6 +50,20 @@ def test_queries_meet_by_list(store, path, monkeypatch):
     assert sorted(vector_index.search(asked(store), path, 5).collect()) == sorted(sent)
 
 
+def test_products_with_centers_are_made_in_blocks(monkeypatch):
+    """Rows meet all centers in blocks of bounded size, with the same lists, codes and probes."""
+    rows = search.unit_rows(np.array([v for _, v, _ in clustered(1000)]))
+    whole = vector_index.learn(rows, 30)
+    lists, probes = whole.encode(rows), whole.probes(rows, 4)
+    monkeypatch.setattr(vector_index, "SCORES_AT_ONCE", 2_000)
+    model = vector_index.learn(rows, 30)
+    assert np.allclose(model.centers, whole.centers) and np.allclose(model.codebooks, whole.codebooks)
+    blocks = vector_index._row_blocks(1000, 30)
+    assert max(b.stop - b.start for b in blocks) * 30 <= 2_000 and len(blocks) > 10
+    assert all((a == b).all() for a, b in zip(whole.encode(rows), lists)) and (whole.probes(rows, 4) == probes).all()
+    assert whole.probes(rows[:0], 4).shape == (0, 4) and len(whole.encode(rows[:0])[0]) == 0
+
+
 def test_filter_keeps_k_rows(store, path):
     """One probed list rarely holds five rows of a label; the other lists are looked at then."""
     found = vector_index.search(asked(store), path, 5, where={"label": 3}, n_probe=1)
