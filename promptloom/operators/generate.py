@@ -79,45 +79,40 @@ def generation_udf(
     is declared non-deterministic: a sampling model must not be called twice by a rewritten plan.
     """
 
-    def run(predict: Callable, prompts: pd.Series, params: list | None) -> pd.DataFrame:
-        rows = _answers(predict, prompts.tolist(), params, batch_size)
-        return pd.DataFrame(rows, columns=["text", "status", "error"])
-
-    def split_params(batch) -> tuple[pd.Series, list | None]:
-        if not with_params:
-            return batch, None
-        return batch["prompt"], batch.drop(columns="prompt").to_dict("records")
-
-    def results(batches: Iterator) -> Iterator[pd.DataFrame]:
+    def split(batch: pa.Array) -> Iterator[tuple[list, list | None]]:
+        """Prompts and parameters of some rows at a time, so that a large batch isn't held as Python objects."""
+        params = None
+        if with_params:
+            names = [f.name for f in batch.type]
+            fields = dict(zip(names, batch.flatten()))
+            batch = fields.pop("prompt")
+            params = pa.table(list(fields.values()), names=list(fields)).to_pandas()
+            for name in params:
+                if isinstance(params[name].dtype, pd.DatetimeTZDtype):  # the session's time, as in a pandas UDF
+                    params[name] = params[name].dt.tz_localize(None)
+        step = batch_size * max(1, ROWS_AT_ONCE // batch_size)
+        for at in range(0, len(batch), step):
+            yield batch.slice(at, step).to_pylist(), None if params is None else params[at : at + step].to_dict("records")
+
+    def results(batches: Iterator[pa.Array]) -> Iterator[list[tuple]]:
         predict = loader()
         for batch in batches:
-            yield run(predict, *split_params(batch))
+            for prompts, params in split(batch):
+                yield _answers(predict, prompts, params, batch_size)
 
-    # Spark reads the kind of UDF from the type hints, so each of the four kinds is spelled out.
     if text_only:
-        if with_params:
-
-            def generate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-                return (r["text"] for r in results(batches))
 
-        else:
+        def generate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            return (pa.array([r[0] for r in rows], pa.string(), from_pandas=True) for rows in results(batches))
 
-            def generate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-                return (r["text"] for r in results(batches))
-
-        return F.pandas_udf(generate, "string").asNondeterministic()
-
-    if with_params:
-
-        def generate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            return results(batches)
-
-    else:
+        return F.arrow_udf(generate, "string").asNondeterministic()
 
-        def generate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            return results(batches)
+    def generate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for rows in results(batches):
+            columns = [pa.array(c, pa.string(), from_pandas=True) for c in zip(*rows)]
+            yield pa.StructArray.from_arrays(columns, names=["text", "status", "error"])
 
-    return F.pandas_udf(generate, GENERATION).asNondeterministic()
+    return F.arrow_udf(generate, GENERATION).asNondeterministic()
 
 
 def generate(

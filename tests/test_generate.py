@@ -99,6 +99,22 @@ def test_parameters_are_per_row(spark):
     assert [r["o"] for r in out.collect()] == ["a1", "b2", "c3"]
 
 
+def test_an_arrow_batch_is_answered_in_pieces(spark):
+    """Prompts become Python objects for some rows at a time, so memory doesn't grow with the rows of an Arrow batch."""
+    import gc
+
+    def loader():
+        def predict(prompts, params):
+            held = sum(len(x) for x in gc.get_objects() if type(x) is list and len(x) > 300 and str(x[0]).startswith("prompt "))
+            return [f"{p}{q['n']}{held}" for p, q in zip(prompts, params)]
+
+        return predict
+
+    frame = spark.range(0, 1500, 1, 1).select("id", F.concat(F.lit("prompt "), "id").alias("p"))
+    out = g.generate(frame, "p", "a", loader, batch_size=10, params={"n": F.col("id") % 3})
+    assert out.where("a = p || id % 3 || '0'").count() == 1500
+
+
 def test_sql_function(spark):
     g.register_model(spark, "shout", upper)
     assert spark.sql("SELECT shout('a') AS t").first()["t"] == "A"
