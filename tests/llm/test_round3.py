@@ -316,3 +316,46 @@ def test_ids_come_in_slices_and_memories_are_bounded(spark, docs, monkeypatch):
     memory = pieces.Memory(lambda key: key * 2, 20_000)
     assert all(memory[f"word {k % 700}"] == f"word {k % 700}" * 2 for k in range(5000))
     assert 0 < memory.used <= 20_400 and len(memory) + len(memory.older) <= 240
+
+
+def test_each_distinct_word_is_encoded_once(spark, monkeypatch):
+    """Words are cut where nothing merges, so what follows a word makes no other word of it, and texts come in blocks."""
+    import sentencepiece
+
+    from promptloom.llm import pieces
+    from promptloom.llm.queries import tokenizer_path
+
+    encoded, compute = [], pieces.Pieces._encoded_word
+    monkeypatch.setattr(pieces.Pieces, "_encoded_word", lambda self, word: encoded.append(word) or compute(self, word))
+    own = pieces.Pieces(*pieces.load_vocabulary(tokenizer_path()))
+    library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path())
+    text = " ".join(f"thonering{end}" for end in (".", ",", "!", "?", "%%%", "&&&", ".\nThonering", "|"))
+    text = f"{text} " * 50
+    assert own.encode(text) == library.encode(text)
+    assert len(encoded) == len(set(encoded)) and sum("honering" in str(word) for word in encoded) == 2
+
+    monkeypatch.setattr(pieces, "TEXT_AT_ONCE", 40)
+    texts = ["", "a b", "▁ ▁x", text, "-" * 200, "é日本\U0001f600 " * 30, "", " \n ", "a" * 500, "x" * 39 + " y", "thlyan" * 40]
+    sizes = [sum(map(len, block.to_pylist())) for _, block in own.blocks(pa.array(texts))]
+    assert len(sizes) > 100 and sorted(sizes)[-4] < 100  # only runs without a cut are longer
+    rows = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(pieces, "load_vocabulary", lambda path: (own.vocabulary, own.reachable))
+    for end_id in (2, None):
+        for r in pieces.encode_documents(rows, tokenizer_path(), end_id=end_id, with_ids=True).collect():
+            ids = library.encode(texts[r["doc_id"]]) + [2] * (end_id is not None)
+            assert r["ids"] == " ".join(map(str, ids)) and r["n_tokens"] == len(ids) and r["ids_sha256"] == sha(r["ids"])
+            assert r["decoded_sha256"] == sha(library.decode(ids))
+            parts = [p for k, p, _ in pieces._encoded(own, pa.array(texts)) if k == r["doc_id"]]
+            assert b"".join(parts).split() == [str(i).encode() for i in library.encode(texts[r["doc_id"]])]
+
+
+def test_short_words_merge_as_defined():
+    from promptloom.llm import pieces
+    from promptloom.llm.queries import tokenizer_path
+
+    own = pieces.Pieces(*pieces.load_vocabulary(tokenizer_path()))
+    short = sorted(p for p in own.score if 1 <= len(p) <= 5)
+    for i in range(4000):
+        word = short[i * 31 % len(short)] + short[i * 57 % len(short)] + short[i * 91 % len(short)]
+        assert own.merge_short(word) == own.merge(word) == own.tokens(word)
+    assert own.merge_short("") == [] and own.merge_short("a" * 32) == own.merge("a" * 32)
