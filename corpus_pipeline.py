@@ -9,7 +9,7 @@ from promptloom.llm import decontaminate, pieces, quality, repeats, simhash
 from promptloom.llm.queries import table, tokenizer_path
 from promptloom.session import materialize
 
-#: Workers live on from stage to stage beside a full heap: their tables of words stay small here.
+#: Workers live on from stage to stage beside a full heap: their tables of words stay small here, and end with a task.
 WORD_MEMORY = 24 << 20
 
 
@@ -41,7 +41,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The ids stand in one string with spaces between, the bytes that ``ids_sha256`` is the digest of.
     """
-    return pieces.encode_documents(docs, tokenizer_path(), with_ids=True, memory=WORD_MEMORY)
+    return pieces.encode_documents(docs, tokenizer_path(), with_ids=True, memory=WORD_MEMORY, keep=False)
 
 
 STAGES = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import math
@@ -28,6 +29,8 @@ NORMAL, UNKNOWN, CONTROL, BYTE = range(4)
 MEMORY = 96 << 20
 #: Bytes of texts that are encoded at once: of these each distinct word is looked up once.
 TEXT_AT_ONCE = 4 << 20
+#: Bytes of a block in which the places to cut are looked up at once: 8 bytes are held for each.
+CUTS_AT_ONCE = 1 << 18
 #: Characters of a word that is merged pair by pair; in longer ones longest matches are tried.
 SHORT = 32
 #: Bytes of ids in one batch of results.
@@ -232,7 +235,11 @@ class Pieces:
 
     def _cuts(self, text: np.ndarray) -> np.ndarray:
         """For all bytes but the first, whether the text can be cut before them."""
-        return self.cuts[text[:-1].astype(np.uint16) << 8 | text[1:]]
+        found = np.empty(max(len(text) - 1, 0), bool)
+        for at in range(0, len(found), CUTS_AT_ONCE):
+            some = text[at : at + CUTS_AT_ONCE + 1]
+            found[at : at + CUTS_AT_ONCE] = self.cuts[some[:-1].astype(np.uint16) << 8 | some[1:]]
+        return found
 
     def encode_block(self, texts: pa.Array) -> Iterator[tuple[bytes, bytes]]:
         """For each text of a block its ids, as decimals with a space before each, and the bytes they decode to.
@@ -296,6 +303,13 @@ def _pieces_of(key: str, broadcast, memory: int) -> Pieces:
     return _WORKER[key]
 
 
+def _let_go() -> None:
+    """Give back what the worker process remembers: tasks of other steps take the same worker."""
+    _WORKER.clear()
+    gc.collect()  # tables and their memories refer to one another
+    pa.default_memory_pool().release_unused()
+
+
 def _encoded(pieces: Pieces, texts: pa.Array) -> Iterator[tuple[int, bytes, bytes]]:
     """``(place, ids, decoded bytes)`` of texts, in one part or, of a long text, in several."""
     for first, block in pieces.blocks(texts):
@@ -305,7 +319,7 @@ def _encoded(pieces: Pieces, texts: pa.Array) -> Iterator[tuple[int, bytes, byte
 
 def encode_documents(
     docs: DataFrame, model_path: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text",
-    with_ids: bool = False, memory: int = MEMORY,
+    with_ids: bool = False, memory: int = MEMORY, keep: bool = True,
 ) -> DataFrame:
     """``id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``, decimals with spaces between): one row per row
     of ``docs``, no shuffle.
@@ -313,7 +327,8 @@ def encode_documents(
     Encodes whole texts exactly as the sentencepiece library does, appends ``end_id``, and decodes
     the ids again. Texts are cut wherever no piece has the bytes on both sides side by side, which is exact
     since nothing merges there; of some MB of texts each distinct word is looked up once, and each worker
-    remembers frequent words, in tables of up to two times ``memory`` bytes each. Null text counts
+    remembers frequent words, in tables of up to two times ``memory`` bytes each. A worker keeps its tables for the
+    tasks to come; without ``keep`` it lets go of them at the end of each task. Null text counts
     as empty and has the end id only; null ids are kept; repeated rows are encoded each.
     """
     vocabulary = load_vocabulary(model_path)
@@ -322,7 +337,13 @@ def encode_documents(
     last = b"" if end_id is None else b" %d" % end_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces_of(key, shared, memory)
+        try:
+            yield from encode(_pieces_of(key, shared, memory), batches)
+        finally:
+            if not keep:
+                _let_go()
+
+    def encode(pieces: Pieces, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, ids_digests, text_digests, all_ids, held, begin = [], [], [], [], 0, 0
 

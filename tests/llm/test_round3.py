@@ -359,3 +359,102 @@ def test_short_words_merge_as_defined():
         word = short[i * 31 % len(short)] + short[i * 57 % len(short)] + short[i * 91 % len(short)]
         assert own.merge_short(word) == own.merge(word) == own.tokens(word)
     assert own.merge_short("") == [] and own.merge_short("a" * 32) == own.merge("a" * 32)
+
+
+# --- memory of workers that live on --------------------------------------------------------------
+
+
+def steps_in_arrow(monkeypatch, df):
+    """What is passed to mapInArrow from now on: pairs of the frame and the function."""
+    seen, real = [], type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, *rest, **more: seen.append((self, f)) or real(self, f, *rest, **more))
+    return seen
+
+
+def peak(run):
+    """Bytes that Python and numpy held at once, beyond what they held before."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        result = run()
+        return result, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_texts_cross_to_the_classifier_once_and_come_back_in_slices(spark, monkeypatch):
+    texts = [None, "", "a", *(f"Word {k} and more words. " * (k % 7) for k in range(40)), "long " * 500, "é日本 " * 3]
+    rows = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").coalesce(1)
+    model = quality.train([(t or "").encode() for t in texts], np.arange(len(texts)) % 2 * 1.0)
+    expected = model.score([(t or "").encode() for t in texts]).tolist()
+    monkeypatch.setattr(quality, "TEXT_AT_ONCE", 300)
+    seen = steps_in_arrow(monkeypatch, rows)
+    scored = quality.with_scores(rows, model).collect()
+    assert [(r["doc_id"], r["text"], r["score"]) for r in scored] == [*zip(range(len(texts)), texts, expected)]
+    (packed, run) = seen[0]
+    assert packed.columns == ["row"]
+    parts = [*run(packed.toArrow().to_batches())]
+    assert sum(p.num_rows for p in parts) == len(texts) and max(p.num_rows for p in parts) < 20
+    assert all(p.num_rows == 1 or sum(len((r["text"] or "").encode()) for r in p.column(0).to_pylist()) <= 300 for p in parts)
+    # A text that is no string goes beside its row, as it did.
+    numbers = spark.createDataFrame([(1, 55, "x"), (2, None, "y")], "doc_id long, text int, lang string").coalesce(1)
+    assert [r["score"] for r in quality.with_scores(numbers, model).collect()] == model.score([b"55", b""]).tolist()
+
+
+def test_learning_holds_few_bytes_a_feature():
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.randrange(1 << 40):x}" for _ in range(3_000)).encode() for _ in range(60)]
+    labels = np.arange(60) % 2 * 1.0
+    n = sum(len(np.unique(features)) for _, features, _ in quality.ngram_features(texts))
+    rows = [(np.unique(f), np.bincount(np.unique(f, return_inverse=True)[1], v)) for _, f, v in quality.ngram_features(texts)]
+    model, held = peak(lambda: quality.train(texts, labels, epochs=1))
+    fixed = 40 << 20  # the sums, the weights, and the arrays of a block of texts
+    assert n > 600_000 and held < fixed + 8 * n
+    for features, values in rows:
+        _, distinct, place = quality._packed(features, values)
+        assert (distinct[place] == values).all()
+    assert model.weights.any()
+
+
+def test_short_texts_hash_alike_in_blocks_of_any_size(monkeypatch):
+    texts = [b"", b"One two, 3!", b"four " * 90, b"", b"Five 5 " * 40, b"six" * 100]
+    whole = [*quality.ngram_features(texts)]
+    for size in (1, 64, 500):
+        monkeypatch.setattr(quality, "TOGETHER", size)
+        for (j, f, v), (k, g, w) in zip(whole, quality.ngram_features(texts), strict=True):
+            assert j == k and (f == g).all() and (v == w).all()
+
+
+def test_words_end_with_a_task_of_the_pipeline(spark, monkeypatch):
+    import weakref
+
+    import corpus_pipeline
+    from promptloom.llm import pieces
+    from promptloom.llm.queries import tokenizer_path
+
+    rows = spark.createDataFrame([(1, "some words of a text"), (2, None)], "doc_id long, text string").coalesce(1)
+    seen = steps_in_arrow(monkeypatch, rows)
+    monkeypatch.setattr(pieces, "_WORKER", {})
+    stage = corpus_pipeline.encoded(spark, rows, SMALL).orderBy("doc_id").collect()
+    (given, run) = seen[0]
+    out = run(iter(given.toArrow().to_batches()))
+    assert next(out).num_rows == 2
+    tables = weakref.ref(*pieces._WORKER.values())
+    assert [*out] == [] and not pieces._WORKER and tables() is None
+    own = pieces.encode_documents(rows, tokenizer_path(), with_ids=True)
+    assert own.orderBy("doc_id").collect() == stage
+    assert len([*seen[-1][1](given.toArrow().to_batches())]) == 1 and len(pieces._WORKER) == 1
+
+
+def test_places_to_cut_are_looked_up_in_stretches():
+    from promptloom.llm import pieces
+    from promptloom.llm.queries import tokenizer_path
+
+    own = pieces.Pieces(*pieces.load_vocabulary(tokenizer_path()))
+    data = np.frombuffer(random.Random(9).randbytes(3 * pieces.CUTS_AT_ONCE + 5), np.uint8)
+    cuts, held = peak(lambda: own._cuts(data))
+    assert (cuts == own.cuts[data[:-1].astype(np.int64) * 256 + data[1:]]).all()
+    assert held < 6 * len(data)
+    for n in (0, 1, 2, pieces.CUTS_AT_ONCE, pieces.CUTS_AT_ONCE + 1, pieces.CUTS_AT_ONCE + 2):
+        assert len(own._cuts(data[:n])) == max(n - 1, 0) and (own._cuts(data[:n]) == cuts[: max(n - 1, 0)]).all()
