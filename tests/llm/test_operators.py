@@ -17,6 +17,7 @@ from promptloom.llm import (
     ann, decontaminate, langid, licenses, pieces, quality, repeats, shards, simhash, warc,
 )
 from promptloom.llm.queries import ORACLES, QUERIES, tokenizer_path
+from promptloom.session import materialize
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -424,6 +425,40 @@ def test_copies_of_sums_and_lists(spark):
     assert [r["doc_id"] for r in decontaminate.without_leaks(docs, bench).orderBy("doc_id").collect()] == [5, 6, 7]
 
 
+def test_large_benchmark_reads_documents_once(spark, tmp_path, monkeypatch):
+    """Of a benchmark that is too large to be broadcast only bits are, and results are as with one that is not."""
+    rng = random.Random(8)
+    words = [f"{a}{b}" for a in "bdfgklmnprst" for b in ("al", "ek", "in", "or", "ush")]
+    items = [(i, " ".join(rng.choices([*words, "Alice", "7", "12 km"], k=30))) for i in range(20)] + [(20, QUESTION), (20, QUESTION)]
+    texts = [" ".join(rng.choices(words, k=80)) for _ in range(30)]
+    texts += [f"{texts[i]}. {x} and again {x.replace('7', '9').replace('Alice', 'Carol')} {x[:60]}" for i, x in items]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    plans = []
+
+    def noted(df, name="stage"):
+        if name == "matches":
+            plans.append(df._jdf.queryExecution().toString().partition("Physical Plan")[2])
+        return materialize(df, name)
+
+    monkeypatch.setattr(decontaminate, "materialize", noted)
+    whole = sorted(map(tuple, decontaminate.leaks(docs, bench).collect()))
+    assert {(r[0], r[2]) for r in whole} == {(30 + k, i) for k, (i, _) in enumerate(items)} and any(r[4] for r in whole)
+    assert sorted(map(tuple, decontaminate.leaks(docs, bench, windows_per_block=100).collect())) == whole
+    assert [p.count("ReadSchema: struct<doc_id") for p in plans] == [1, 1]
+
+
+def test_raw_tokens_of_a_window(spark):
+    """Cut out of the text, they are what the text split whole holds there."""
+    texts = ["One Two 3.5 km ΟΔΟΣ and İstanbul, as SHE told Bob. Yes", "a b c d e", "12 13 14 15 16 17"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").select(decontaminate._cleaned(F.col("text")).alias("cleaned"))
+    raw = decontaminate._raw_tokens()
+    places = frame.select("cleaned", raw.alias("raw"), F.explode(F.sequence(F.lit(0), F.size(raw) - 5)).alias("at"))
+    rows = places.select(F.slice("raw", F.col("at") + 1, 5).alias("want"), decontaminate._raw_window(F.col("at"), 5).alias("got")).collect()
+    assert len(rows) >= 9 and all(r["want"] == r["got"] for r in rows)
+
+
 def test_decontamination_is_native(spark, docs):
     plan = decontaminate.leaks(docs, spark.read.parquet(f"{SMALL}/benchmark.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
